@@ -14,6 +14,21 @@ from tradevault.functions.scalars import open_end
 _STEP = {"month": "1 month", "quarter": "3 months", "year": "1 year"}
 
 
+def date_span(df: DataFrame, col: str) -> tuple[str, str] | None:
+    """First and last date of a column: one aggregate over one column, two values returned."""
+    lo, hi = df.agg(F.min(F.to_date(col)).cast("string"), F.max(F.to_date(col)).cast("string")).first()
+    return None if lo is None else (lo, hi)
+
+
+def _in_buckets(versions: DataFrame, bucket: str) -> DataFrame:
+    """One row per calendar bucket a window touches."""
+    steps = (
+        f"sequence(cast(date_trunc('{bucket}', __s) as date), cast(date_trunc('{bucket}', __e) as date),"
+        f" interval {_STEP[bucket]})"
+    )
+    return versions.withColumn("__b", F.explode(F.expr(steps)))
+
+
 def pit_lookup(
     fact: DataFrame,
     dim: DataFrame,
@@ -25,47 +40,42 @@ def pit_lookup(
     start: str = "effective_start_date",
     end: str = "effective_end_date",
     bucket: str = "quarter",
+    span: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Left join of each fact row to the dimension version whose closed window holds the fact's date.
 
     Windows of one key must not overlap. A plain equi join with a range residual compares every fact row of a key with
-    every version of it; here closed versions are spread over the calendar buckets they cover, so a fact row meets only
-    the versions of its own bucket, and the open version joins one to one. No size hint is given: Spark broadcasts the
-    dimension when it measures it as small and splits skewed partitions otherwise.
+    every version of it; here versions are spread over the calendar buckets they cover, so a fact row meets only the
+    versions of its own bucket. No size hint is given: Spark broadcasts the dimension when it measures it as small and
+    splits skewed partitions otherwise.
+
+    ``span`` is the date range of the facts, known for an incremental batch (or see ``date_span``): versions outside it
+    are dropped and one join does all. Without it (a stream) open versions are joined one to one on the key first.
     """
     names = list(take)
     payload = F.struct(*[F.col(c).alias(o) for o, c in take.items()])
     dim = dim.select(
         F.col(dim_key).alias("__k"), F.col(start).alias("__s"), F.col(end).alias("__e"), payload.alias("__p")
     )
-    past = (
-        dim.filter(F.col("__e") < open_end())
-        .withColumn(
-            "__b",
-            F.explode(
-                F.expr(
-                    f"sequence(cast(date_trunc('{bucket}', __s) as date), cast(date_trunc('{bucket}', __e) as date),"
-                    f" interval {_STEP[bucket]})"
-                )
-            ),
-        )
-        .select(
-            F.col("__k").alias("__pk"), F.col("__b").alias("__pb"), F.col("__s").alias("__ps"),
-            F.col("__e").alias("__pe"), F.col("__p").alias("__pp"),
-        )
+    day = F.col(date_col)
+    in_window = (
+        (F.col(key) == F.col("__k")) & (F.date_trunc(bucket, day).cast("date") == F.col("__b"))
+        & day.between(F.col("__s"), F.col("__e"))
     )
+    if span is not None:
+        lo, hi = (F.lit(x).cast("date") for x in span)
+        live = dim.filter((F.col("__s") <= hi) & (F.col("__e") >= lo)).withColumns(
+            {"__s": F.greatest("__s", lo), "__e": F.least("__e", hi)}
+        )
+        out = fact.join(_in_buckets(live, bucket), in_window, "left")
+        return out.select(*fact.columns, *[F.col("__p")[n].alias(n) for n in names])
     now = dim.filter(F.col("__e") >= open_end()).select(
         F.col("__k").alias("__nk"), F.col("__s").alias("__ns"), F.col("__p").alias("__np")
     )
-    day = F.col(date_col)
     out = fact.join(now, (F.col(key) == F.col("__nk")) & (day >= F.col("__ns")), "left").join(
-        past,
-        (F.col(key) == F.col("__pk"))
-        & (F.date_trunc(bucket, day).cast("date") == F.col("__pb"))
-        & day.between(F.col("__ps"), F.col("__pe")),
-        "left",
+        _in_buckets(dim.filter(F.col("__e") < open_end()), bucket), in_window, "left"
     )
-    hit = F.coalesce("__np", "__pp")
+    hit = F.coalesce("__np", "__p")
     return out.select(*fact.columns, *[hit[n].alias(n) for n in names])
 
 

@@ -72,27 +72,24 @@ def append_sat(stage: DataFrame, existing: DataFrame | None, keys: Sequence[str]
 
 
 def build_pit(
-    hub: DataFrame, hk: str, sats: Mapping[str, DataFrame], snapshots: DataFrame, *, loads: str = "load_date"
+    hub: DataFrame, hk: str, sats: Mapping[str, DataFrame], snapshots: Column, *, loads: str = "load_date"
 ) -> DataFrame:
     """For each hub row and snapshot date, each satellite's latest load time up to the end of that date.
 
-    Snapshot rows and satellite days share one time line and the last load is carried along it, so there is no
-    correlated subquery and no range join. ``snapshots`` is the small calendar of dates to build; satellites are first
-    reduced to the last load per key and day.
+    ``snapshots`` is an array of dates; a hub row is expanded by it. Snapshot rows and satellite days then share one time
+    line and the last load is carried along it, so there is no correlated subquery, cross join or range join. Satellites
+    are first reduced to the last load per key and day.
     """
-    grid = hub.select(hk).join(F.broadcast(snapshots.select("snapshot_date").distinct()))
-    out = grid
+    grid = hub.select(hk, F.explode(snapshots).alias("snapshot_date"))
+    line = grid.withColumn("__snap", F.lit(1))
     for name, sat in sats.items():
-        col = f"{name}_load_date"
-        days = sat.groupBy(hk, F.to_date(loads).alias("snapshot_date")).agg(F.max(loads).alias("__load"))
-        line = grid.withColumn("__snap", F.lit(1)).unionByName(
-            days.withColumn("__snap", F.lit(0)), allowMissingColumns=True
-        )
-        filled = with_ordered(
-            line, [hk], ["snapshot_date", "__snap"], F.date_trunc("month", "snapshot_date"), fill={col: "__load"}
-        )
-        out = out.join(filled.filter("__snap = 1").select(hk, "snapshot_date", col), [hk, "snapshot_date"], "left")
-    return out
+        days = sat.groupBy(hk, F.to_date(loads).alias("snapshot_date")).agg(F.max(loads).alias(f"__{name}"))
+        line = line.unionByName(days.withColumn("__snap", F.lit(0)), allowMissingColumns=True)
+    filled = with_ordered(
+        line, [hk], ["snapshot_date", "__snap"], F.date_trunc("month", "snapshot_date"),
+        fill={f"{name}_load_date": f"__{name}" for name in sats},
+    )
+    return filled.filter("__snap = 1").select(hk, "snapshot_date", *[f"{name}_load_date" for name in sats])
 
 
 def retain(pit: DataFrame, as_of: Column | str, days: int = 7) -> DataFrame:
