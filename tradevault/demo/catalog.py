@@ -3,4 +3,5 @@
 from tradevault.demo import (  # noqa: F401
     q_core,
     q_gold,
+    q_vault,
 )
