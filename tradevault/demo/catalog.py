@@ -4,4 +4,5 @@ from tradevault.demo import (  # noqa: F401
     q_core,
     q_gold,
     q_vault,
+    q_derived,
 )
