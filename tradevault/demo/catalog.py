@@ -5,4 +5,6 @@ from tradevault.demo import (  # noqa: F401
     q_gold,
     q_vault,
     q_derived,
+    q_ops,
+    q_flows,
 )

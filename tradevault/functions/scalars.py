@@ -42,7 +42,7 @@ def is_hashed(c: Column | str) -> Column:
 
 def code_list(c: Column | str) -> Column:
     """Comma-delimited codes to an array of trimmed codes; the empty text gives an empty array."""
-    parts = F.transform(F.split(as_col(c), ","), F.trim)
+    parts = F.transform(F.split(as_col(c), ","), lambda p: F.trim(p))
     return F.filter(parts, lambda p: p != "")
 
 
