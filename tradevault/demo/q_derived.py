@@ -286,7 +286,7 @@ def j14(spark, d):
 @query("W2_monotonicity", s.with_stage("fills", """
 SELECT fill_id, CAST(previous_value AS DOUBLE) AS previous_value, CAST(price AS DOUBLE) AS price FROM (SELECT *, lag(price) OVER (PARTITION BY instrument_id ORDER BY fill_ts, fill_id) AS previous_value FROM fills) WHERE price < previous_value"""))
 def w2(spark, d):
-    out = derived.monotonic_violations(s.fills(spark, d), ["instrument_id"], ["fill_ts", "fill_id"], "price", F.date_trunc("month", "fill_ts"))
+    out = derived.monotonic_violations(s.fills(spark, d), ["instrument_id"], ["fill_ts", "fill_id"], "price", F.unix_micros("fill_ts"))
     return out.select("fill_id", "previous_value", "price")
 
 
@@ -304,7 +304,7 @@ def w5(spark, d):
 @query("W6_route_ordinal", s.with_stage("fills", """
 SELECT fill_id, row_number() OVER (PARTITION BY venue_id ORDER BY fill_ts, fill_id) AS route_sequence FROM fills"""))
 def w6(spark, d):
-    return derived.ordinal(s.fills(spark, d), ["venue_id"], ["fill_ts", "fill_id"], "route_sequence", F.date_trunc("month", "fill_ts")).select("fill_id", "route_sequence")
+    return derived.ordinal(s.fills(spark, d), ["venue_id"], ["fill_ts", "fill_id"], "route_sequence", F.unix_micros("fill_ts")).select("fill_id", "route_sequence")
 
 
 @query("W7_allocation_share", s.with_stage("lines_s", """

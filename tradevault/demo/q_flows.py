@@ -380,7 +380,7 @@ WITH x AS (SELECT event_id, event_type, json_extract_string(props, '$.k') AS k,
 SELECT event_id, 'event_type' AS attribute, pt AS old_value, event_type AS new_value FROM x WHERE pe IS NOT NULL AND pt IS DISTINCT FROM event_type UNION ALL SELECT event_id, 'k', pk, k FROM x WHERE pe IS NOT NULL AND pk IS DISTINCT FROM k""")
 def x7(spark, d):
     ev = s.table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k"))
-    return submission.audit_trail(ev, ["user_id"], ["ts", "event_id"], ["event_type", "k"], F.to_date("ts")).select("event_id", "attribute", "old_value", "new_value")
+    return submission.audit_trail(ev, ["user_id"], ["ts", "event_id"], ["event_type", "k"], F.unix_micros(F.col("ts").cast("timestamp"))).select("event_id", "attribute", "old_value", "new_value")
 
 
 @query("X8_modification_gap", s.with_stage("fills", """
@@ -448,14 +448,12 @@ def io9(spark, d):
     return spark.read.parquet(path).groupBy("event_date").agg(F.count("*").alias("n"))
 
 
-@query("IO11_read_event_date", s.with_stage("order_events", "SELECT dv2_source_hk FROM order_events WHERE event_date = DATE '1998-05-04'"))
+@query("IO11_read_event_date", "SELECT event_id, user_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'")
 def io11(spark, d):
-    def build(sp, dd):
-        return s.order_events(sp, dd).select("dv2_source_hk", "event_date")
-
     path = work_dir(spark, "by_date")
-    tables.write_partitioned(build(spark, d).repartition("event_date"), path, ["event_date"])
-    return tables.read_event_date(spark, path, "1998-05-04").select("dv2_source_hk")
+    ev = s.table(spark, d, "events").withColumn("event_date", F.to_date("ts"))
+    tables.write_partitioned(ev.repartition("event_date"), path, ["event_date"])
+    return tables.read_event_date(spark, path, "2024-01-15").select("event_id", "user_id")
 
 
 def event_stream(spark, d):
@@ -610,10 +608,10 @@ def st9(spark, d):
     base = work_dir(spark, "st9")
     day = F.to_date("ts")
     rows = status_rows(spark, d)
-    # four files in time order
+    # four periods written in time order; within a period a user's rows share one file, so batches are in order per user
     for i, (lo, hi) in enumerate((("2024-01-01", "2024-01-08"), ("2024-01-08", "2024-01-16"), ("2024-01-16", "2024-01-24"), ("2024-01-24", "2024-03-01"))):
-        rows.filter((day >= F.to_date(F.lit(lo))) & (day < F.to_date(F.lit(hi)))).coalesce(1).write.parquet(f"{base}/in/p{i}")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/p*")
+        rows.filter((day >= F.to_date(F.lit(lo))) & (day < F.to_date(F.lit(hi)))).repartition(4, "user_id").write.parquet(f"{base}/in/p{i}")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/in/p*")
     last = flows.KeyedTable(spark, f"{base}/last", ["user_id"], 8)
     flows.state_check_stream(stream, "user_id", ["ts", "event_id"], "status", states.edge_frame(spark), "order", last, f"{base}/bad", f"{base}/cp")
     return spark.read.parquet(f"{base}/bad").select("event_id", "from_state", "status")

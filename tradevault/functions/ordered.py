@@ -1,10 +1,14 @@
 """Ordered per-key calculations that do not put a whole key into one task.
 
 A plain ``Window.partitionBy(key)`` sorts every row of a key in one task, so one hot key can stall a job. Here the
-window runs per (key, chunk), where ``chunk`` is a coarse form of the order column (day, month, hash prefix). One edge
+window runs per (key, chunk), where ``chunk`` is a coarse form of the order column (hour, day, hash prefix). One edge
 row per (key, chunk) then carries the last/first values, counts and sums across chunks, and is joined back on the
 partitioning the window already produced. Results equal the plain window.
 
+Without a given chunk the chunks follow the data: keys with up to ``TARGET_ROWS`` rows stay whole, larger ones are cut
+into equal steps of their own time range. The list of larger keys has at most (rows / TARGET_ROWS) entries, which bounds
+what is broadcast.
+
 Key columns must not be NULL: rows with a NULL key are only sequenced within their chunk.
 """
 
@@ -18,14 +22,31 @@ from pyspark.sql import functions as F
 from tradevault.functions.hashing import as_col
 
 _C = "__chunk"
+TARGET_ROWS = 2_000_000
+
+
+def sized_chunks(df: DataFrame, keys: Sequence[str], pos: Column, target_rows: int | None = None) -> DataFrame:
+    """Add a chunk number per key from its row count and range of ``pos`` (a long that does not decrease along the
+    order). The count is exact and repeatable, so a recomputed task sees the same chunks."""
+    target = target_rows or TARGET_ROWS
+    at = df.withColumn("__pos", pos)
+    lo, hi, n = F.min("__pos"), F.max("__pos"), F.count("*")
+    large = (
+        at.groupBy(*keys).agg(lo.alias("__lo"), hi.alias("__hi"), n.alias("__n")).filter(F.col("__n") > target)
+        .select(*keys, "__lo", F.greatest(F.lit(1), F.ceil((F.col("__hi") - F.col("__lo") + 1) * F.lit(target) / F.col("__n"))).alias("__step"))
+    )
+    step = F.floor((F.col("__pos") - F.col("__lo")) / F.col("__step"))
+    return at.join(F.broadcast(large), list(keys), "left").withColumn(_C, F.coalesce(step, F.lit(0))).drop("__pos", "__lo", "__step")
 
 
 def with_ordered(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column | str],
-    chunk: Column,
+    chunk: Column | None = None,
     *,
+    pos: Column | None = None,
+    target_rows: int | None = None,
     lag: Mapping[str, Column | str] | None = None,
     lead: Mapping[str, Column | str] | None = None,
     number: str | None = None,
@@ -34,7 +55,8 @@ def with_ordered(
 ) -> DataFrame:
     """Add ordered columns to ``df``.
 
-    ``order`` is ascending and must be unique within a key; ``chunk`` must not decrease along it.
+    ``order`` is ascending and must be unique within a key; ``chunk`` (or ``pos``, to size chunks by data) must not
+    decrease along it.
     ``lag``/``lead`` give the previous/next value, ``number`` a 1-based ordinal, ``running`` a sum up to and including
     the row, ``fill`` the last non-null value up to and including the row.
     """
@@ -54,7 +76,10 @@ def with_ordered(
         cols.append(F.sum(as_col(c)).over(upto).alias(f"__sum_{o}"))
     for o, c in fill.items():
         cols.append(F.last(as_col(c), ignorenulls=True).over(upto).alias(f"__fill_{o}"))
-    main = df.withColumn(_C, chunk).select("*", *cols)
+    if chunk is None and pos is None:
+        raise ValueError("give chunk or pos")
+    chunked = sized_chunks(df, keys, pos, target_rows) if chunk is None else df.withColumn(_C, chunk)
+    main = chunked.select("*", *cols)
 
     across = Window.partitionBy(*keys).orderBy(_C)
     before = across.rowsBetween(Window.unboundedPreceding, -1)

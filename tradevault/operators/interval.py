@@ -44,7 +44,7 @@ def pit_lookup(
 ) -> DataFrame:
     """Left join of each fact row to the dimension version whose closed window holds the fact's date.
 
-    Windows of one key must not overlap. A plain equi join with a range residual compares every fact row of a key with
+    Windows of one key must not overlap; an inverted window covers nothing. A plain equi join with a range residual compares every fact row of a key with
     every version of it; here versions are spread over the calendar buckets they cover, so a fact row meets only the
     versions of its own bucket. No size hint is given: Spark broadcasts the dimension when it measures it as small and
     splits skewed partitions otherwise.
@@ -56,7 +56,7 @@ def pit_lookup(
     payload = F.struct(*[F.col(c).alias(o) for o, c in take.items()])
     dim = dim.select(
         F.col(dim_key).alias("__k"), F.col(start).alias("__s"), F.col(end).alias("__e"), payload.alias("__p")
-    )
+    ).filter(F.col("__s") <= F.col("__e"))
     day = F.col(date_col)
     in_window = (
         (F.col(key) == F.col("__k")) & (F.date_trunc(bucket, day).cast("date") == F.col("__b"))
@@ -103,27 +103,25 @@ def asof_join(
     *,
     tie: Sequence[Column | str] = (),
     direction: str = "backward",
-    chunk_days: int = 1,
+    target_rows: int | None = None,
 ) -> DataFrame:
     """Add to each left row the nearest right row at or before (``backward``) or at or after (``forward``) its time.
 
     Both sides are put on one time line and the last seen right row is carried along it: cost grows with the rows, never
-    with pairs. ``tie`` orders right rows of equal time (the last wins). Time lines are cut every ``chunk_days`` days.
+    with pairs. ``tie`` orders right rows of equal time (the last wins). Long time lines are cut by size.
     """
     sign = 1 if direction == "backward" else -1
 
-    def line(ts: Column) -> list[Column]:
-        micros = F.unix_micros(ts.cast("timestamp"))
-        chunk = F.floor(micros / F.lit(86_400_000_000 * chunk_days))
-        return [(F.lit(sign) * micros).alias("__t"), (F.lit(sign) * chunk).alias("__day")]
+    def at(ts: str) -> Column:
+        return (F.lit(sign) * F.unix_micros(F.col(ts).cast("timestamp"))).alias("__t")
 
     tie_key = F.struct(*[as_col(c) for c in tie]) if tie else F.lit(0)
     row = F.struct(*[F.col(c) for c in left.columns])
     hit = F.struct(*[as_col(c).alias(o) for o, c in take.items()])
-    r = right.select(*keys, *line(F.col(right_ts)), F.lit(0).alias("__kind"), tie_key.alias("__tie"), hit.alias("__hit"))
-    lrows = left.select(*keys, *line(F.col(left_ts)), F.lit(1).alias("__kind"), row.alias("__row"))
+    r = right.select(*keys, at(right_ts), F.lit(0).alias("__kind"), tie_key.alias("__tie"), hit.alias("__hit"))
+    lrows = left.select(*keys, at(left_ts), F.lit(1).alias("__kind"), row.alias("__row"))
     both = lrows.unionByName(r, allowMissingColumns=True)
     filled = with_ordered(
-        both, list(keys), ["__t", "__kind", "__tie"], F.col("__day"), fill={"__found": "__hit"}
+        both, list(keys), ["__t", "__kind", "__tie"], pos=F.col("__t"), target_rows=target_rows, fill={"__found": "__hit"}
     ).filter("__kind = 1")
     return filled.select("__row.*", *[F.col("__found")[o].alias(o) for o in take])

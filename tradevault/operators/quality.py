@@ -138,8 +138,8 @@ def state_transitions(
     rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str], status: str = "status", chunk: Column | None = None
 ) -> DataFrame:
     """Each status row with the status before it."""
-    chunk = F.to_date(order[0]) if chunk is None else chunk
-    return with_ordered(rows, keys, order, chunk, lag={"from_state": status})
+    first = F.col(order[0]) if isinstance(order[0], str) else order[0]
+    return with_ordered(rows, keys, order, chunk, pos=F.unix_micros(first.cast("timestamp")), lag={"from_state": status})
 
 
 def invalid_transitions(transitions: DataFrame, edges: DataFrame, machine: str, status: str = "status") -> DataFrame:

@@ -119,14 +119,14 @@ def scd2_upsert(
 
 def end_date_sat(sat: DataFrame, keys: Sequence[str], load: str = "load_date", chunk: Column | None = None) -> DataFrame:
     """Half-open end of each satellite row: the next row's load time, NULL for the open row."""
-    chunk = F.to_date(load) if chunk is None else chunk
-    return with_ordered(sat, keys, [load], chunk, lead={"load_end_date": load})
+    return with_ordered(sat, keys, [load], chunk, pos=F.unix_micros(load), lead={"load_end_date": load})
 
 
 def collapse_repeats(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], chunk: Column, value: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: str, chunk: Column | None = None,
+    pos: Column | None = None,
 ) -> DataFrame:
     """Rows whose value differs from the previous row of the key (the first row always stays)."""
-    seen = with_ordered(df, keys, order, chunk, lag={"__before": value, "__has": F.lit(True)})
+    seen = with_ordered(df, keys, order, chunk, pos=pos, lag={"__before": value, "__has": F.lit(True)})
     changed = F.col("__has").isNull() | ~F.col(value).eqNullSafe(F.col("__before"))
     return seen.filter(changed).drop("__before", "__has")

@@ -61,7 +61,7 @@ def load_sat(
         old = existing.select(*keys, "load_date", "hash_diff", *attrs).withColumn("__stored", F.lit(True))
         rows = rows.unionByName(old, allowMissingColumns=True)
     order = ["load_date", (~F.col("__stored")), *tie, "hash_diff"]
-    out = collapse_repeats(rows, keys, order, F.to_date("load_date") if chunk is None else chunk, "hash_diff")
+    out = collapse_repeats(rows, keys, order, "hash_diff", chunk, F.unix_micros("load_date"))
     return out.filter(~F.col("__stored")).drop("__stored")
 
 

@@ -157,7 +157,7 @@ def fail_rate(settlements: DataFrame, by: Sequence[str], penalty_rate: float = 0
 def fill_progress(execs: DataFrame, order_quantity: str = "order_quantity") -> DataFrame:
     """Fill ordinal, cumulative and leaves quantity, and the fill's share of the order quantity."""
     out = with_ordered(
-        execs, ["order_id"], ["fill_ts", "fill_id"], F.to_date("fill_ts"),
+        execs, ["order_id"], ["fill_ts", "fill_id"], F.date_trunc("hour", "fill_ts"),
         number="fill_sequence", running={"cumulative_qty": "quantity"},
     )
     return out.withColumns(
@@ -168,13 +168,13 @@ def fill_progress(execs: DataFrame, order_quantity: str = "order_quantity") -> D
     )
 
 
-def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str, chunk: Column) -> DataFrame:
-    return with_ordered(df, keys, order, chunk, number=out)
+def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str, pos: Column) -> DataFrame:
+    return with_ordered(df, keys, order, pos=pos, number=out)
 
 
-def monotonic_violations(df: DataFrame, part: Sequence[str], order: Sequence[str], value: str, chunk: Column) -> DataFrame:
+def monotonic_violations(df: DataFrame, part: Sequence[str], order: Sequence[str], value: str, pos: Column) -> DataFrame:
     """Rows whose value is below the value before it in the order."""
-    seen = with_ordered(df, part, order, chunk, lag={"previous_value": value})
+    seen = with_ordered(df, part, order, pos=pos, lag={"previous_value": value})
     return seen.filter(F.col(value) < F.col("previous_value"))
 
 
@@ -250,8 +250,8 @@ def derive_order_link(
     rest = e.join(by_key, list(exact), "left_anti")
     o = orders.select(*nearest, "order_id", "order_ts")
     take_b, take_f = {"b_id": "order_id", "b_ts": "order_ts"}, {"f_id": "order_id", "f_ts": "order_ts"}
-    around = asof_join(rest, o, nearest, "fill_ts", "order_ts", take_b, tie=["order_id"], chunk_days=30)
-    around = asof_join(around, o, nearest, "fill_ts", "order_ts", take_f, tie=["order_id"], direction="forward", chunk_days=30)
+    around = asof_join(rest, o, nearest, "fill_ts", "order_ts", take_b, tie=["order_id"])
+    around = asof_join(around, o, nearest, "fill_ts", "order_ts", take_f, tie=["order_id"], direction="forward")
     gap_b, gap_f = micros_between("b_ts", "fill_ts"), micros_between("fill_ts", "f_ts")
     back = gap_f.isNull() | (gap_b <= gap_f)
     gap = F.when(back, gap_b).otherwise(gap_f)
@@ -267,7 +267,7 @@ def derive_order_link(
     return hits.unionByName(near)
 
 
-def best_execution(execs: DataFrame, quotes: DataFrame, chunk_days: int = 30) -> DataFrame:
+def best_execution(execs: DataFrame, quotes: DataFrame) -> DataFrame:
     """Per execution: arrival mid, interval benchmarks, shortfall, improvement, effective and realised spread in bps.
 
     The arrival mid is the last quote at or before the order, the post-trade mid the first quote at or after the
@@ -276,8 +276,8 @@ def best_execution(execs: DataFrame, quotes: DataFrame, chunk_days: int = 30) ->
     """
     q = quotes.withColumn("mid", (F.col("bid_price") + F.col("ask_price")) / F.lit(2).cast("decimal(2,0)"))
     q = q.select("instrument_id", "quote_ts", F.col("mid").cast("double").alias("mid"), "quote_id")
-    rows = asof_join(execs, q, ["instrument_id"], "order_ts", "quote_ts", {"arrival_price": "mid"}, tie=["quote_id"], chunk_days=chunk_days)
-    rows = asof_join(rows, q, ["instrument_id"], "fill_ts", "quote_ts", {"post_mid": "mid"}, tie=["quote_id"], direction="forward", chunk_days=chunk_days)
+    rows = asof_join(execs, q, ["instrument_id"], "order_ts", "quote_ts", {"arrival_price": "mid"}, tie=["quote_id"])
+    rows = asof_join(rows, q, ["instrument_id"], "fill_ts", "quote_ts", {"post_mid": "mid"}, tie=["quote_id"], direction="forward")
     day = execs.groupBy("instrument_id", F.to_date("fill_ts").alias("__day")).agg(
         ratio(F.sum("amount"), F.sum("quantity")).alias("vwap_benchmark"),
         ratio(F.sum("price"), F.count("*")).alias("twap_benchmark"),
