@@ -416,8 +416,10 @@ LEFT JOIN dim_venue v ON f.dim_venue_sk = v.dim_venue_sk LEFT JOIN dim_trader t
 LEFT JOIN dim_desk k ON f.dim_desk_sk = k.dim_desk_sk WHERE f.cat_event_code = 'MEOT'"""))
 def v3(spark, d):
     dm = dim_map(spark, d, *ALL_DIMS)
+    et = dims.dim_event_type(spark)
+    fact = order_fact(spark, d, dm, views.executions_only(s.order_events(spark, d), et))
     out = views.best_execution_audit(
-        order_fact(spark, d, dm), dims.dim_event_type(spark), dm["party"], dm["instrument"], dm["venue"], dm["trader"], dm["desk"]
+        fact, et, dm["party"], dm["instrument"], dm["venue"], dm["trader"], dm["desk"]
     )
     return out.select(
         "dv2_source_hk", "cat_event_code", "event_name", "symbol", "execution_venue_mic", "venue_category", "side", "execution_price",

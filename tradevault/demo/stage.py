@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores when the input has fewer files than cores (a single small file is otherwise one task for the whole
+    plan). Large inputs have many files and are left as they are: no extra shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def money(c: str) -> Column:
     return F.col(c).cast("decimal(18,4)")
 
@@ -54,7 +61,7 @@ def choose(c: str, mapping: dict[str, str]) -> Column:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("party_id"),
         F.col("o_orderdate").cast("timestamp").alias("order_ts"), F.to_date("o_orderdate").alias("order_date"),
         choose("o_orderstatus", ORDER_STATUS).alias("order_status"),
@@ -70,7 +77,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.col(c).cast(dec).cast("string") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
         "l_returnflag", "l_linestatus", F.to_date("l_shipdate").cast("string"),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
         F.sha2(text, 256).alias("fill_id"), F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("instrument_id"), F.col("l_suppkey").alias("venue_id"),
         F.col("l_linenumber").alias("line_no"), money("l_quantity").alias("quantity"),

@@ -1,15 +1,13 @@
-"""Ordered per-key calculations that do not put a whole key into one task.
+"""Ordered per-key calculations that do not put a large key into one task.
 
-A plain ``Window.partitionBy(key)`` sorts every row of a key in one task, so one hot key can stall a job. Here the
-window runs per (key, chunk), where ``chunk`` is a coarse form of the order column (hour, day, hash prefix). One edge
-row per (key, chunk) then carries the last/first values, counts and sums across chunks, and is joined back on the
-partitioning the window already produced. Results equal the plain window.
+A plain ``Window.partitionBy(key)`` sorts every row of a key in one task, so one hot key can stall a job. Key sizes are
+therefore checked first, by one map-side combined count over the key columns. If no key exceeds ``TARGET_ROWS``, the plain
+window is used: one shuffle. Otherwise large keys are cut into chunks of their own order range, the window runs per
+(key, chunk), and one edge row per (key, chunk) carries the last/first values, counts and sums across chunks and is joined
+back on the partitioning the window already produced. Results are the same either way. At most (rows / TARGET_ROWS) keys
+can be large, which bounds what is broadcast.
 
-Without a given chunk the chunks follow the data: keys with up to ``TARGET_ROWS`` rows stay whole, larger ones are cut
-into equal steps of their own time range. The list of larger keys has at most (rows / TARGET_ROWS) entries, which bounds
-what is broadcast.
-
-Key columns must not be NULL: rows with a NULL key are only sequenced within their chunk.
+Key columns must not be NULL: where keys are cut, rows with a NULL key are only sequenced within their chunk.
 """
 
 from __future__ import annotations
@@ -25,18 +23,32 @@ _C = "__chunk"
 TARGET_ROWS = 2_000_000
 
 
-def sized_chunks(df: DataFrame, keys: Sequence[str], pos: Column, target_rows: int | None = None) -> DataFrame:
-    """Add a chunk number per key from its row count and range of ``pos`` (a long that does not decrease along the
-    order). The count is exact and repeatable, so a recomputed task sees the same chunks."""
-    target = target_rows or TARGET_ROWS
-    at = df.withColumn("__pos", pos)
-    lo, hi, n = F.min("__pos"), F.max("__pos"), F.count("*")
-    large = (
-        at.groupBy(*keys).agg(lo.alias("__lo"), hi.alias("__hi"), n.alias("__n")).filter(F.col("__n") > target)
-        .select(*keys, "__lo", F.greatest(F.lit(1), F.ceil((F.col("__hi") - F.col("__lo") + 1) * F.lit(target) / F.col("__n"))).alias("__step"))
+def large_keys(df: DataFrame, keys: Sequence[str], pos: Column, target_rows: int) -> DataFrame:
+    """Keys with more rows than the target, with the start and the step that cut their range of ``pos`` into chunks."""
+    size = df.select(*keys, pos.alias("__pos")).groupBy(*keys).agg(
+        F.min("__pos").alias("__lo"), F.max("__pos").alias("__hi"), F.count("*").alias("__n")
     )
-    step = F.floor((F.col("__pos") - F.col("__lo")) / F.col("__step"))
-    return at.join(F.broadcast(large), list(keys), "left").withColumn(_C, F.coalesce(step, F.lit(0))).drop("__pos", "__lo", "__step")
+    step = F.ceil((F.col("__hi") - F.col("__lo") + 1) * F.lit(target_rows) / F.col("__n"))
+    return size.filter(F.col("__n") > target_rows).select(*keys, "__lo", F.greatest(F.lit(1), step).alias("__step"))
+
+
+def with_chunks(df: DataFrame, keys: Sequence[str], pos: Column, large: DataFrame) -> DataFrame:
+    """Add the chunk number: 0 for keys of normal size. Counts are exact, so a recomputed task sees the same chunks."""
+    step = F.floor((pos - F.col("__lo")) / F.col("__step"))
+    joined = df.join(F.broadcast(large), list(keys), "left")
+    return joined.withColumn(_C, F.coalesce(step, F.lit(0))).drop("__lo", "__step")
+
+
+def _plain(df, keys, order, lag, lead, number, running, fill) -> DataFrame:
+    line = Window.partitionBy(*keys).orderBy(*order)
+    upto = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cols = [F.lag(as_col(c)).over(line).alias(o) for o, c in lag.items()]
+    cols += [F.lead(as_col(c)).over(line).alias(o) for o, c in lead.items()]
+    if number:
+        cols.append(F.row_number().over(line).cast("long").alias(number))
+    cols += [F.sum(as_col(c)).over(upto).alias(o) for o, c in running.items()]
+    cols += [F.last(as_col(c), ignorenulls=True).over(upto).alias(o) for o, c in fill.items()]
+    return df.select("*", *cols)
 
 
 def with_ordered(
@@ -78,7 +90,13 @@ def with_ordered(
         cols.append(F.last(as_col(c), ignorenulls=True).over(upto).alias(f"__fill_{o}"))
     if chunk is None and pos is None:
         raise ValueError("give chunk or pos")
-    chunked = sized_chunks(df, keys, pos, target_rows) if chunk is None else df.withColumn(_C, chunk)
+    if chunk is None:
+        large = large_keys(df, keys, pos, target_rows or TARGET_ROWS)
+        if large.isEmpty():
+            return _plain(df, keys, order, lag, lead, number, running, fill)
+        chunked = with_chunks(df, keys, pos, large)
+    else:
+        chunked = df.withColumn(_C, chunk)
     main = chunked.select("*", *cols)
 
     across = Window.partitionBy(*keys).orderBy(_C)

@@ -78,7 +78,7 @@ def scd2_invariants(dim: DataFrame, key: str, lineage: str = "dv2_source_hk") ->
     line = Window.partitionBy(key).orderBy("effective_start_date", "effective_end_date")
     nxt = F.lead("effective_start_date").over(line)
     # a running count of current rows marks every second one of a key
-    current_no = F.sum(F.col("is_current").cast("int")).over(line)
+    current_no = F.sum(F.col("is_current").cast("int")).over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     seen = dim.withColumns({"__next": nxt, "__cur": current_no})
     rules = {
         "one_current_row": "NOT is_current OR __cur <= 1",

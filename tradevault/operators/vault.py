@@ -86,7 +86,7 @@ def build_pit(
         days = sat.groupBy(hk, F.to_date(loads).alias("snapshot_date")).agg(F.max(loads).alias(f"__{name}"))
         line = line.unionByName(days.withColumn("__snap", F.lit(0)), allowMissingColumns=True)
     filled = with_ordered(
-        line, [hk], ["snapshot_date", "__snap"], F.date_trunc("month", "snapshot_date"),
+        line, [hk], ["snapshot_date", "__snap"], pos=F.unix_date("snapshot_date").cast("long"),
         fill={f"{name}_load_date": f"__{name}" for name in sats},
     )
     return filled.filter("__snap = 1").select(hk, "snapshot_date", *[f"{name}_load_date" for name in sats])

@@ -157,7 +157,7 @@ def fail_rate(settlements: DataFrame, by: Sequence[str], penalty_rate: float = 0
 def fill_progress(execs: DataFrame, order_quantity: str = "order_quantity") -> DataFrame:
     """Fill ordinal, cumulative and leaves quantity, and the fill's share of the order quantity."""
     out = with_ordered(
-        execs, ["order_id"], ["fill_ts", "fill_id"], F.date_trunc("hour", "fill_ts"),
+        execs, ["order_id"], ["fill_ts", "fill_id"], pos=F.unix_micros("fill_ts"),
         number="fill_sequence", running={"cumulative_qty": "quantity"},
     )
     return out.withColumns(
