@@ -27,6 +27,17 @@ def test_seed_sizes(spark, name, n):
     assert df.count() == n and df.filter("length(row_hash) <> 64").count() == 0
 
 
+def test_external_seed_keeps_its_own_window(spark, tmp_path):
+    f = tmp_path / "regulators.csv"
+    f.write_text("regulator_code,regulator_name,effective_start_date,is_active\nSEC,Commission,2020-01-01,\nESMA,Authority,,false\n")
+    out = seeds.seed_ref_csv(
+        spark, str(f), "regulator_code string, regulator_name string, effective_start_date date, is_active boolean",
+        ["regulator_code", "regulator_name"], "INTERNAL_TAXONOMY", "2026.1", F.lit("2026-01-01").cast("timestamp"),
+    )
+    assert rows(out, "regulator_code", "effective_start_date", "effective_end_date", "is_active") == [
+        ("ESMA", D(2026, 1, 1), D(9999, 12, 31), False), ("SEC", D(2020, 1, 1), D(9999, 12, 31), True)]
+
+
 def test_taxonomy_and_enumerations(spark, tmp_path):
     et = dims.dim_event_type(spark)
     assert et.count() == 99 and et.agg(F.max("dim_event_type_sk")).first()[0] == 99

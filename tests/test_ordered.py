@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tradevault.operators.joins import expand_left
 from tradevault.functions.ordered import large_keys, share_of, with_ordered
 
 
@@ -59,3 +60,18 @@ def test_null_neighbour_is_not_a_missing_neighbour(spark):
 def test_share(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("b", 0)], "k string, q int")
     assert rows(share_of(df, ["k"], "q", "s"), "k", "q", "s") == [("a", 1, 0.25), ("a", 3, 0.75), ("b", 0, None)]
+
+
+def test_null_keys_form_one_group(spark):
+    df = spark.createDataFrame([(None, i, i) for i in range(30)] + [("a", i, i) for i in range(60)], "k string, t long, id long")
+    out = with_ordered(df, ["k"], ["t"], pos=F.col("t"), target_rows=10, lag={"before": "id"}, number="no")
+    got = {(r["k"], r["t"]): (r["before"], r["no"]) for r in out.collect()}
+    assert all(got[(k, i)] == (i - 1 if i else None, i + 1) for k, n in ((None, 30), ("a", 60)) for i in range(n))
+
+
+@pytest.mark.parametrize("target", [3, 1000])
+def test_salted_left_join_equals_plain(spark, target):
+    parent = spark.createDataFrame([("hot", 1), ("few", 2), ("none", 3), (None, 4)], "k string, p int")
+    child = spark.createDataFrame([("hot", i) for i in range(40)] + [("few", 100), ("stray", 101), (None, 102)], "k string, c int")
+    out = expand_left(parent, child, "k", target)
+    assert rows(out, "k", "p", "c") == rows(parent.join(child, "k", "left"), "k", "p", "c")

@@ -405,3 +405,36 @@ def q13b(spark, d):
          "ask_price": F.when(k % 5 == 0, F.col("ask_price") - 1).otherwise(F.col("ask_price"))}
     )
     return quality.bad_quotes(q).select("quote_id", "issue")
+
+
+# ---- integrity by metadata -------------------------------------------------------------------------------------------------------
+
+
+@query("Q7_integrity_matrix", s.with_dims("order_events", "party instrument venue account desk trader", FACT_SQL + """
+SELECT 'order_events' AS fact, d AS dimension, c AS "check", CASE WHEN c = 'null_key' AND d = 'account' THEN (SELECT COUNT(*) FROM fact WHERE dim_account_sk IS NULL) ELSE 0 END AS n
+FROM (VALUES ('party'), ('instrument'), ('venue'), ('account'), ('desk'), ('trader')) t(d), (VALUES ('null_key'), ('unknown_key'), ('not_in_force')) u(c)"""))
+def q7c(spark, d):
+    from tradevault.plans.integrity import integrity_matrix
+
+    dm = dim_map(spark, d, *ALL_DIMS)
+    fact = s.stored(spark, d, "fact_order_events", lambda sp, dd: order_fact(sp, dd, dm))
+    return integrity_matrix({"order_events": fact}, dm)
+
+
+@query("J8_relationship_report", s.with_stage("lines_s", """
+SELECT 'order_route.order_event_id' AS relationship, 'order_event' AS target, 'orphans' AS "check", COUNT(DISTINCT order_id) AS n FROM lines_s WHERE order_id % 7 = 0
+UNION ALL SELECT 'execution.order_event_id', 'order_event', 'orphans', COUNT(DISTINCT order_id) FROM lines_s WHERE order_id % 7 = 0
+UNION ALL SELECT 'allocation.execution_id', 'execution', 'orphans', COUNT(*) FROM lines_s WHERE side = 'SELL'"""))
+def j8b(spark, d):
+    from tradevault.plans.integrity import relationship_report
+
+    li = s.lines(spark, d)
+    tables_ = {
+        "order_event": s.orders(spark, d).filter("order_id % 7 <> 0").select(F.col("order_id").alias("order_event_id")),
+        "order_route": li.select(F.col("order_id").alias("order_event_id")),
+        "execution": li.filter("side <> 'SELL'").select(F.col("fill_id").alias("execution_id")),
+        "allocation": li.select(F.col("fill_id").alias("execution_id")),
+    }
+    report = relationship_report(tables_)
+    more = relationship_report({"order_event": tables_["order_event"], "execution": li.select(F.col("order_id").alias("order_event_id"))})
+    return report.unionByName(more)

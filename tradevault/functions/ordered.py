@@ -7,7 +7,7 @@ window is used: one shuffle. Otherwise large keys are cut into chunks of their o
 back on the partitioning the window already produced. Results are the same either way. At most (rows / TARGET_ROWS) keys
 can be large, which bounds what is broadcast.
 
-Key columns must not be NULL: where keys are cut, rows with a NULL key are only sequenced within their chunk.
+Rows with a NULL key form one group, as in SQL; it is never cut. With a given ``chunk`` keys must not be NULL.
 """
 
 from __future__ import annotations

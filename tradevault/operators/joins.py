@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradevault.functions.ordered import TARGET_ROWS
+
 
 def assemble_entity(
     hub: DataFrame, pit: DataFrame, hk: str, mandatory: Mapping[str, DataFrame], optional: Mapping[str, DataFrame] | None = None
@@ -26,6 +28,26 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> Da
     return fact
 
 
+def expand_left(parent: DataFrame, child: DataFrame, key: str, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """Left join of one parent row to its many children, safe for a parent that owns most children.
+
+    Adaptive execution can only split the left side of a left join. Child counts are checked first; if a key exceeds the
+    target, its children are salted and its parent row is repeated once per salt. At most (children / target) keys are
+    salted, which bounds what is broadcast.
+    """
+    sizes = child.groupBy(key).agg(F.count("*").alias("__n")).filter(F.col("__n") > target_rows)
+    if sizes.isEmpty():
+        return parent.join(child, key, "left")
+    splits = F.broadcast(sizes.select(key, F.ceil(F.col("__n") / target_rows).cast("int").alias("__splits")))
+    salts = F.explode(F.sequence(F.lit(0), F.coalesce("__splits", F.lit(1)) - 1))
+    p = parent.join(splits, key, "left").withColumn("__salt", salts)
+    spread = F.pmod(F.xxhash64(*child.columns), F.coalesce("__splits", F.lit(1)).cast("long")).cast("int")
+    c = child.join(splits, key, "left").withColumn("__salt", spread).drop("__splits").withColumn("__child", F.lit(True))
+    # a salted parent has children for certain: its empty salts are dropped
+    out = p.join(c, [key, "__salt"], "left").filter("__child or __splits is null")
+    return out.drop("__salt", "__splits", "__child")
+
+
 def orphans(child: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Distinct non-null child keys without a parent. Both sides shrink to distinct keys before the join."""
     c = child.select(*on).dropna().distinct()
