@@ -2,12 +2,9 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
-from conftest import rows
 from tradevault.operators import interval
 from tradevault.plans.risk import adjustment_factors
-from tradevault.streaming import flows
 
 D = dt.date
 OPEN = D(9999, 12, 31)

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from tradevault.operators import hierarchy, joins, quality

@@ -3,8 +3,6 @@
 from tradevault.demo import stage as s
 from tradevault.demo.registry import query
 
-STR = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
-
 
 @query("IO1_table_scan", s.with_stage("fills", """
 SELECT fill_id, order_id, instrument_id, venue_id, line_no, CAST(quantity AS DOUBLE) AS quantity, CAST(price AS DOUBLE) AS price,
@@ -26,7 +24,3 @@ def p1(spark, d):
         "firm_roe_id", "cat_order_id", "cat_event_code", "party_id", "instrument_id", "event_nanos", "side", "order_type",
         "price", "execution_price", "dv2_source_hk", "event_timestamp", "event_date",
     )
-
-
-for _name, _fn in (("party", s.party_feed), ("instrument", s.instrument_feed), ("venue", s.venue_feed)):
-    pass

@@ -3,13 +3,11 @@
 from pyspark.sql import functions as F
 
 from tradevault.demo import stage as s
-from tradevault.demo.q_vault import ts
 from tradevault.demo.registry import query
 from tradevault.functions import daycount
 from tradevault.functions.hashing import hash_key
 from tradevault.operators import hierarchy, joins, quality
 from tradevault.plans import bridges, derived, dims, risk
-from tradevault.sources.seeds import config_frame, load_taxonomy
 
 DBL = "CAST({0} AS DOUBLE)"
 
@@ -406,15 +404,26 @@ SELECT sha256(concat_ws('||', '__N__', '__N__', order_hk, coalesce(execution_hk,
   coalesce(settlement_hk, '__N__'), party_hk, coalesce(instrument_hk, '__N__'))) AS bridge_hk, order_hk, execution_hk, allocation_hk, clearing_hk, confirmation_hk, settlement_hk,
   CASE WHEN st = 'SETTLED' THEN 'SETTLED' WHEN st = 'FAILED' THEN 'FAILED' WHEN order_status = 'CANCELLED' THEN 'CANCELLED' ELSE 'IN_FLIGHT' END AS lifecycle_status FROM x"""))
 def b1(spark, d):
-    lines = s.lines(spark, d)
-    exe, alloc = hk("fill_id", "EXE").alias("execution_hk"), hk("fill_id", "ALL").alias("allocation_hk")
+    def exe():
+        return hk("fill_id", "EXE").alias("execution_hk")
+
+    def alloc():
+        return hk("fill_id", "ALL").alias("allocation_hk")
+
+    def link(name, *cols, where=None):
+        def build(sp, dd):
+            lines = s.lines(sp, dd)
+            return (lines if where is None else lines.filter(where)).select(*cols)
+
+        return s.stored(spark, d, f"link_{name}", build)
+
     orders = s.orders(spark, d).select(hk("order_id", "OMS").alias("order_hk"), hk("party_id", "KYC").alias("party_hk"), "order_status")
     links = {
-        "execution": lines.select(hk("order_id", "OMS").alias("order_hk"), exe, hk("instrument_id", "SEC").alias("instrument_hk")),
-        "allocation": lines.filter("side = 'BUY'").select(exe, alloc),
-        "clearing": lines.filter("settlement_status = 'SETTLED'").select(exe, hk("fill_id", "CLR").alias("clearing_hk")),
-        "confirmation": lines.filter("side = 'BUY' and line_no < 5").select(alloc, hk("fill_id", "CNF").alias("confirmation_hk")),
-        "settlement": lines.filter("side = 'BUY' and line_no < 6").select(alloc, hk("fill_id", "STL").alias("settlement_hk"), "settlement_status"),
+        "execution": link("execution", hk("order_id", "OMS").alias("order_hk"), exe(), hk("instrument_id", "SEC").alias("instrument_hk")),
+        "allocation": link("allocation", exe(), alloc(), where="side = 'BUY'"),
+        "clearing": link("clearing", exe(), hk("fill_id", "CLR").alias("clearing_hk"), where="settlement_status = 'SETTLED'"),
+        "confirmation": link("confirmation", alloc(), hk("fill_id", "CNF").alias("confirmation_hk"), where="side = 'BUY' and line_no < 5"),
+        "settlement": link("settlement", alloc(), hk("fill_id", "STL").alias("settlement_hk"), "settlement_status", where="side = 'BUY' and line_no < 6"),
     }
     return bridges.trade_lifecycle(orders, links).select(
         "bridge_hk", "order_hk", "execution_hk", "allocation_hk", "clearing_hk", "confirmation_hk", "settlement_hk", "lifecycle_status"

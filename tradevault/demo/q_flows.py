@@ -3,15 +3,15 @@
 from pyspark.sql import functions as F
 
 from tradevault.demo import stage as s
-from tradevault.demo.q_gold import CODE_TYPES, batches, feedback_errors, order_span, stored_dim, BATCH_SQL, ERROR_SQL
-from tradevault.demo.q_ops import BAD_MOVES, CODE_OK, DIRTY_SQL, LINE_SQL, SIDE_OK, dirty, shaped, status_rows
-from tradevault.demo.q_vault import CHANGES_SQL, V_SQL, changes, ts
+from tradevault.demo.q_gold import stored_dim
+from tradevault.demo.q_ops import BAD_MOVES, LINE_SQL, shaped, status_rows
+from tradevault.demo.q_vault import V_SQL
 from tradevault.demo.registry import query
 from tradevault.functions.hashing import hash_key, row_hash
-from tradevault.operators import interval, joins, quality, scd2
-from tradevault.plans import accounts, derived, dims, facts, refdata, rules, states, submission, views
+from tradevault.operators import interval
+from tradevault.plans import accounts, dims, refdata, states, submission, views
 from tradevault.session import work_dir
-from tradevault.sources import files, seeds, tables
+from tradevault.sources import files, tables
 from tradevault.streaming import flows
 
 # ---- account data from customers and orders ------------------------------------------------------------------------------------

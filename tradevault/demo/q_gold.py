@@ -4,11 +4,8 @@ from pyspark.sql import functions as F
 
 from tradevault.demo import stage as s
 from tradevault.demo.registry import query
-from tradevault.functions.hashing import hash_key
-from tradevault.functions.scalars import is_hashed, mask_hash, operating_or_segment, resolve_identifier, change_operation
-from tradevault.operators import interval, joins, quality, scd2
+from tradevault.operators import interval, joins
 from tradevault.plans import dims, facts, views
-from tradevault.sources.seeds import load_taxonomy
 
 FEEDS = {
     "party": s.party_feed, "instrument": s.instrument_feed, "venue": s.venue_feed, "account": s.account_feed,

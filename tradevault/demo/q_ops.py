@@ -3,15 +3,12 @@
 from pyspark.sql import functions as F
 
 from tradevault.demo import stage as s
-from tradevault.demo.q_gold import CODE_TYPES, FACT_SQL, batches, dim, feedback_errors, order_fact, order_span, stored_dim, dim_map, ALL_DIMS, BATCH_SQL, ERROR_SQL
-from tradevault.demo.q_vault import ts
+from tradevault.demo.q_gold import CODE_TYPES, FACT_SQL, dim, order_fact, order_span, stored_dim, dim_map, ALL_DIMS
 from tradevault.demo.registry import query
-from tradevault.functions.hashing import hash_key, row_hash
 from tradevault.functions.scalars import change_operation, code_list, is_hashed, mask_hash, operating_or_segment, resolve_identifier
-from tradevault.operators import interval, joins, quality
-from tradevault.plans import accounts, dims, facts, refdata, rules, states, submission, views
-from tradevault.session import work_dir
-from tradevault.sources import files, seeds, tables
+from tradevault.operators import interval, quality
+from tradevault.plans import dims, facts, refdata, rules, states, submission, views
+from tradevault.sources import seeds
 
 # ---- projections ---------------------------------------------------------------------------------------------------------
 
@@ -97,7 +94,10 @@ def p12(spark, d):
 def messages(spark, d):
     """Order and execution messages as tag maps."""
     li = s.lines(spark, d)
-    tag = lambda *kv: F.create_map(*[F.lit(x) if i % 2 == 0 else F.col(x).cast("string") for i, x in enumerate(kv)])
+
+    def tag(*kv):
+        return F.create_map(*[F.lit(x) if i % 2 == 0 else F.col(x).cast("string") for i, x in enumerate(kv)])
+
     order = li.select("fill_id", F.lit("35=D").alias("msg_type"), tag("11", "order_id", "38", "quantity", "44", "price", "54", "side", "1", "venue_id").alias("fields"))
     fill = li.select("fill_id", F.lit("35=8").alias("msg_type"), tag("17", "fill_id", "31", "price", "32", "quantity", "75", "settle_date", "44", "price").alias("fields"))
     return order.unionByName(fill)
@@ -162,7 +162,7 @@ SELECT dv2_source_hk AS option_event_hk, CASE cat_event_code WHEN 'MENO' THEN 'M
   CAST(quantity AS DOUBLE) AS event_qty, e.order_type FROM order_events e WHERE cat_event_code IN ('MENO','MECO','MEOR')"""))
 def g14(spark, d):
     link, sat, osat = option_tables(spark, d)
-    return facts.option_fact(link, sat.drop("fill_id"), "option_order", osat.withColumnRenamed("load_end_dts", "load_end_dts")).select(
+    return facts.option_fact(link, sat.drop("fill_id"), "option_order", osat).select(
         "option_event_hk", "cat_event_code", "event_date", "event_qty", "order_type"
     )
 
@@ -207,7 +207,7 @@ def multileg_tables(spark, d):
 def multileg_facts(spark, d):
     link, esat, osat, legs, lsat = multileg_tables(spark, d)
     cal = dims.dim_date(spark, "1994-01-01", "2003-12-31")
-    head = facts.multileg_headers(link, esat.drop(), osat, legs, stored_dim(spark, d, "party"), cal, mode="drop")
+    head = facts.multileg_headers(link, esat, osat, legs, stored_dim(spark, d, "party"), cal, mode="drop")
     return head, facts.expand_legs(head.select("multileg_order_hk", "multileg_event_hk", "leg_count", F.lit(None).cast("long").alias("instrument_sk")), legs, lsat, stored_dim(spark, d, "instrument"))
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tradevault.demo import stage as s
 from tradevault.demo.registry import query
 from tradevault.functions.hashing import hash_key, link_key, row_hash, surrogate_key
-from tradevault.operators import interval, joins, quality, scd2, vault
+from tradevault.operators import joins, quality, scd2, vault
 from tradevault.plans import vault_load
 from tradevault.plans.facts import current_rows, open_roles
 from tradevault.session import work_dir
