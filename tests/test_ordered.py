@@ -39,6 +39,12 @@ def test_sized_chunks_equal_the_plain_window(skewed, target):
     assert rows(out, *COLS) == rows(plain(skewed), *COLS)
 
 
+def test_wide_position_range_does_not_overflow(skewed):
+    wide = skewed.withColumn("p", F.col("t") * 10**14)
+    out = with_ordered(wide, ["k"], ["t", "id"], pos=F.col("p"), target_rows=100, **OPTIONS)
+    assert rows(out, *COLS) == rows(plain(skewed), *COLS)
+
+
 def test_given_chunk_equals_the_plain_window(skewed):
     out = with_ordered(skewed, ["k"], ["t", "id"], F.floor(F.col("t") / 700), **OPTIONS)
     assert rows(out, *COLS) == rows(plain(skewed), *COLS)

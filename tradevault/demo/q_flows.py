@@ -569,18 +569,18 @@ SELECT fill_id, order_id, line_no NOT IN (6, 7) AS matched FROM fills"""))
 def st7(spark, d):
     f = s.fills(spark, d)
     shift = F.when(F.col("line_no") >= 6, 30).otherwise(F.col("line_no") % 3)
-    a = f.select("fill_id", "order_id", F.timestamp_micros(F.unix_micros("order_ts") + shift.cast("long") * 86400 * s.SECOND).alias("allocation_ts"))
+    a = f.select(F.col("fill_id").alias("allocation_id"), "order_id", F.timestamp_micros(F.unix_micros("order_ts") + shift.cast("long") * 86400 * s.SECOND).alias("allocation_ts"))
     o = s.orders(spark, d).select("order_id", "order_ts")
     base = work_dir(spark, "st7")
     a.write.parquet(f"{base}/a")
     o.write.parquet(f"{base}/o")
     # one row far in the future on each side moves the watermark, so that unmatched rows come out
     end = a.agg(F.max("allocation_ts").alias("t")).withColumn("t", F.col("t") + F.expr("interval 100 days"))
-    end.select(F.lit("END").alias("fill_id"), F.lit(-1).cast("long").alias("order_id"), F.col("t").alias("allocation_ts")).write.parquet(f"{base}/a_end")
+    end.select(F.lit("END").alias("allocation_id"), F.lit(-1).cast("long").alias("order_id"), F.col("t").alias("allocation_ts")).write.parquet(f"{base}/a_end")
     end.select(F.lit(-2).cast("long").alias("order_id"), F.col("t").alias("order_ts")).write.parquet(f"{base}/o_end")
     sa = spark.readStream.schema(a.schema).parquet(f"{base}/a*")
     so = spark.readStream.schema(o.schema).parquet(f"{base}/o*")
-    out = flows.late_allocations(sa, so).select("fill_id", "order_id", F.col("order_ts").isNotNull().alias("matched"))
+    out = flows.late_allocations(sa, so, salts=2).select(F.col("allocation_id").alias("fill_id"), "order_id", F.col("order_ts").isNotNull().alias("matched"))
     flows.append_files(out, f"{base}/out", f"{base}/cp").awaitTermination()
     return spark.read.parquet(f"{base}/out").filter("fill_id <> 'END'")
 

@@ -28,7 +28,8 @@ def large_keys(df: DataFrame, keys: Sequence[str], pos: Column, target_rows: int
     size = df.select(*keys, pos.alias("__pos")).groupBy(*keys).agg(
         F.min("__pos").alias("__lo"), F.max("__pos").alias("__hi"), F.count("*").alias("__n")
     )
-    step = F.ceil((F.col("__hi") - F.col("__lo") + 1) * F.lit(target_rows) / F.col("__n"))
+    # in doubles: a range of microseconds times the target does not fit a long
+    step = F.ceil((F.col("__hi").cast("double") - F.col("__lo").cast("double") + 1) * (F.lit(float(target_rows)) / F.col("__n")))
     return size.filter(F.col("__n") > target_rows).select(*keys, "__lo", F.greatest(F.lit(1), step).alias("__step"))
 
 

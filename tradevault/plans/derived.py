@@ -186,7 +186,7 @@ def allocate(fills: DataFrame, instructions: DataFrame, key: str, fill: str = "f
     """Split each fill's whole units over the instructions of its key, largest remainder first, so that parts add up.
 
     ``instructions`` has allocation_rule, target_percentage, target_quantity and account_id. Integer arithmetic keeps
-    the split exact; remainders are ranked per (fill, remainder band).
+    the split exact.
     """
     rule = F.col("allocation_rule")
     weight = (
@@ -204,7 +204,7 @@ def allocate(fills: DataFrame, instructions: DataFrame, key: str, fill: str = "f
     )
     left = rows.groupBy(fill).agg((F.max(F.col(qty).cast("long")) - F.sum("__base")).alias("__left"))
     ranked = with_ordered(
-        rows, [fill], [-F.col("__rem"), "account_id"], -F.floor(F.col("__rem") * 64 / F.col("__total")), number="__rank"
+        rows, [fill], [-F.col("__rem"), "account_id"], pos=-F.col("__rem"), number="__rank"
     )
     units = F.col("__base") + F.when(F.col("__rank") <= F.col("__left"), 1).otherwise(0)
     return ranked.join(left, fill).withColumn("allocated_units", units).drop("__w", "__total", "__base", "__rem", "__rank", "__left")
