@@ -41,6 +41,8 @@ def test_external_seed_keeps_its_own_window(spark, tmp_path):
 def test_taxonomy_and_enumerations(spark, tmp_path):
     et = dims.dim_event_type(spark)
     assert et.count() == 99 and et.agg(F.max("dim_event_type_sk")).first()[0] == 99
+    first = {r["cat_event_code"]: r["dim_event_type_sk"] for r in et.collect()}
+    assert first["MENO"] == 1 and first["MONO"] == 40 and first["MLOE"] == 99
     kinds = {r[0]: r[1] for r in et.groupBy("submission_file_type").count().collect()}
     assert set(kinds) == {"OrderEvents", "OptionEvents", "QuoteEvents", "Allocations"} and kinds["Allocations"] == 4
     assert seeds.load_enumerations(spark).count() == 53

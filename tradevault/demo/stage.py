@@ -20,10 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores when the input has fewer files than cores (a single small file is otherwise one task for the whole
-    plan). Large inputs have many files and are left as they are: no extra shuffle."""
+    """Use all cores when a scan has fewer splits than cores: a small file is otherwise one task for the whole plan. Only
+    inputs below (cores x split size) are moved; large inputs have more splits and are left as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def money(c: str) -> Column:

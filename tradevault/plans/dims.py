@@ -12,7 +12,7 @@ from tradevault.functions.hashing import hash_key
 from tradevault.functions.scalars import resolve_identifier
 from tradevault.operators.quality import expect
 from tradevault.operators.scd2 import scd2_build
-from tradevault.sources.seeds import load_taxonomy
+from tradevault.sources.seeds import load_taxonomy, small_frame
 
 # fixed values: exchange holidays
 HOLIDAYS = {
@@ -57,7 +57,7 @@ def dim_date(
     The calendar has a fixed number of rows, so its one global window is bounded.
     """
     days = spark.sql(f"select explode(sequence(date'{start}', date'{end}', interval 1 day)) as calendar_date")
-    names = spark.createDataFrame(list(holidays.items()), "d string, holiday_name string").select(
+    names = small_frame(spark, ["d", "holiday_name"], list(holidays.items())).select(
         F.to_date("d").alias("calendar_date"), "holiday_name"
     )
     d = F.col("calendar_date")

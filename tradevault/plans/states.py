@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradevault.sources.seeds import small_frame
+
 STATE_MACHINES = """
 order_request: RECEIVED > SYSTEMATIZED, SYSTEMATIZED > ORDER_CREATED, RECEIVED > REJECTED, RECEIVED > EXPIRED
 order: NEW > ACCEPTED, ACCEPTED > WORKING, WORKING > ACCEPTED, WORKING > PARTIALLY_FILLED, PARTIALLY_FILLED > FILLED, WORKING > CANCELLED, PARTIALLY_FILLED > CANCELLED, FILLED > BUST, NEW > REJECTED, NEW > EXPIRED, WORKING > MODIFIED, MODIFIED > WORKING
@@ -55,4 +57,4 @@ def edge_frame(spark: SparkSession) -> DataFrame:
     for m in machines():
         rows.append((m, None, entry_state(m)))
         rows += [(m, a, b) for a, b in moves(m)]
-    return spark.createDataFrame(rows, "machine string, from_state string, to_state string")
+    return small_frame(spark, ["machine", "from_state", "to_state"], rows)

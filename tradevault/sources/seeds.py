@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import csv
 import functools
+from collections.abc import Sequence
 from importlib import resources
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,10 +27,16 @@ def read_config(name: str) -> tuple[tuple[str, ...], tuple[tuple[str, ...], ...]
     return tuple(rows[0]), tuple(tuple(r) for r in rows[1:])
 
 
+def small_frame(spark: SparkSession, header: Sequence[str], rows: Sequence[Sequence[str | None]]) -> DataFrame:
+    """A short text list as a local relation, whose size the optimizer knows."""
+    cols = [pa.array([r[i] for r in rows], pa.string()) for i in range(len(header))]
+    return spark.createDataFrame(pa.table(dict(zip(header, cols))))
+
+
 def config_frame(spark: SparkSession, name: str) -> DataFrame:
     """A packaged list as a DataFrame; empty text is NULL and ``true``/``false`` columns are boolean."""
     header, rows = read_config(name)
-    df = spark.createDataFrame([tuple(v or None for v in r) for r in rows], ", ".join(f"`{h}` string" for h in header))
+    df = small_frame(spark, header, [[v or None for v in r] for r in rows])
     flags = [h for i, h in enumerate(header) if rows and all(r[i] in ("true", "false") for r in rows)]
     return df.withColumns({h: F.col(h).cast("boolean") for h in flags}) if flags else df
 
@@ -108,14 +116,14 @@ def load_taxonomy(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Event taxonomy from a file, or the packaged one; any other row count than 99 is refused."""
     if path is None:
         df = config_frame(spark, "event_types").withColumn("description", F.lit(None).cast("string"))
+        n = len(read_config("event_types")[1])
     else:
         df = spark.read.csv(path, schema=TAXONOMY_SCHEMA, header=True, comment="#")
-    # one partition keeps the list order; the row count is checked below
-    df = df.coalesce(1).withColumn("position", (F.monotonically_increasing_id() + 1).cast("int"))
-    n = df.count()
+        n = df.count()
     if n != TAXONOMY_ROWS:
         raise ValueError(f"expected {TAXONOMY_ROWS} event types, got {n}")
-    return df
+    # one partition keeps the order of the checked, short list
+    return df.coalesce(1).withColumn("position", (F.monotonically_increasing_id() + 1).cast("int"))
 
 
 def load_enumerations(spark: SparkSession, path: str | None = None) -> DataFrame:
