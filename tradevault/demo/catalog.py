@@ -7,4 +7,5 @@ from tradevault.demo import (  # noqa: F401
     q_derived,
     q_ops,
     q_flows,
+    q_more,
 )

@@ -44,3 +44,10 @@ def query(name: str, sql: str | None = None):
         return fn
 
     return wrap
+
+
+def alias(name: str, of: str) -> None:
+    """A second inventory name for the same question."""
+    QUERIES[name] = QUERIES[of]
+    if of in ORACLE:
+        ORACLE[name] = ORACLE[of]
