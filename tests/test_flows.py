@@ -153,12 +153,13 @@ def test_code_list_refresh_versions_on_hash_only(spark):
     M = "MIC string, `OPERATING MIC` string, `MARKET NAME-INSTITUTION DESCRIPTION` string, `LEGAL ENTITY NAME` string, `MARKET CATEGORY CODE` string, ACRONYM string, `ISO COUNTRY CODE (ISO 3166)` string, CITY string, WEBSITE string, STATUS string, `LAST UPDATE DATE` string, `CREATION DATE` string"
     row = lambda mic, name, status, day: (mic, mic, name, None, "RMKT", None, "us", "NY", None, status, day, day)
     load = lambda d: F.lit(d).cast("timestamp")
-    prep = lambda data, d: refdata.prepare(refdata.curate_mic(spark.createDataFrame(data, M), F.to_date(F.lit(d))), "ref_mic", "file", load(d))
+    prep = lambda data, d: refdata.prepare(refdata.curate(spark.createDataFrame(data, M), "ref_mic", F.to_date(F.lit(d))), "ref_mic", "file", load(d))
     v1 = refdata.refresh(None, prep([row("xnys", "NYSE", "Active", "20240101"), row("xold", "OLD", "Active", "20240101")], "2024-01-02"), "ref_mic")
     again = refdata.refresh(v1, prep([row("xnys", "NYSE", "Active", "20240105")], "2024-01-05"), "ref_mic")
     assert again.count() == 2  # a new load date alone opens no version
     v2 = refdata.refresh(v1, prep([row("xnys", "New York", "Active", "20240201"), row("xold", "OLD", "Deleted", "20240201")], "2024-02-01"), "ref_mic")
     assert rows(v2, "mic_code", "mic_name", "is_current") == [("XNYS", "NYSE", False), ("XNYS", "New York", True), ("XOLD", "OLD", False)]
+    assert {r["city"] for r in v2.collect()} == {"NY"} and "website_url" in v2.columns  # described columns ride along
     with pytest.raises(Exception, match="mic_code_4_upper_alnum"):
         prep([row("toolong", "x", "Active", "20240101")], "2024-01-02").collect()
 

@@ -223,7 +223,7 @@ SELECT k AS mapping_rows, COUNT(*) AS codes FROM n GROUP BY 1""")
 def a18(spark, d):
     ev = s.table(spark, d, "events")
     mapping = ev.select(F.when(F.col("user_id") % 2 == 0, "click, view").otherwise(F.col("event_type")).alias("event_codes"))
-    codes = ev.select(F.col("event_type").alias("cat_event_code")).distinct().unionByName(ev.limit(1).select(F.lit("none").alias("cat_event_code")))
+    codes = ev.select(F.col("event_type").alias("cat_event_code")).distinct().unionByName(spark.range(1).select(F.lit("none").alias("cat_event_code")))
     return derived.coverage_depth(mapping, codes)
 
 
@@ -255,10 +255,10 @@ WITH RECURSIVE c AS (SELECT *, c_acctbal < 0 AND c_custkey // 5 <> c_custkey //
 e AS (SELECT c_custkey // 3 AS owner, c_custkey AS owned, CASE WHEN two THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS pct FROM c
   UNION ALL SELECT c_custkey // 5, c_custkey, 0.5::DOUBLE FROM c WHERE two),
 w AS (SELECT owned AS party, owner, pct, 1 AS depth, owned || '/' || owner AS path FROM e
-  UNION ALL SELECT w.party, e.owner, w.pct * e.pct, w.depth + 1, w.path || '/' || e.owner FROM w JOIN e ON w.owner = e.owned WHERE w.depth < 20)
+  UNION ALL SELECT w.party, e.owner, w.pct * e.pct, w.depth + 1, w.path || '/' || e.owner FROM w JOIN e ON w.owner = e.owned)
 SELECT party, owner AS ultimate_owner, pct AS effective_pct, CAST(depth AS BIGINT) AS chain_depth, path FROM w WHERE owner NOT IN (SELECT owned FROM e)""")
 def j13(spark, d):
-    out = hierarchy.ownership_chains(ownership_edges(spark, d), 20)
+    out = hierarchy.ownership_chains(ownership_edges(spark, d))
     return out.withColumn("path", F.array_join(F.col("path").cast("array<string>"), "/"))
 
 
@@ -284,7 +284,7 @@ def j14(spark, d):
 @query("W2_monotonicity", s.with_stage("fills", """
 SELECT fill_id, CAST(previous_value AS DOUBLE) AS previous_value, CAST(price AS DOUBLE) AS price FROM (SELECT *, lag(price) OVER (PARTITION BY instrument_id ORDER BY fill_ts, fill_id) AS previous_value FROM fills) WHERE price < previous_value"""))
 def w2(spark, d):
-    out = derived.monotonic_violations(s.fills(spark, d), ["instrument_id"], ["fill_ts", "fill_id"], "price", F.unix_micros("fill_ts"))
+    out = derived.monotonic_violations(s.fills(spark, d), ["instrument_id"], ["fill_ts", "fill_id"], "price")
     return out.select("fill_id", "previous_value", "price")
 
 
@@ -302,7 +302,7 @@ def w5(spark, d):
 @query("W6_route_ordinal", s.with_stage("fills", """
 SELECT fill_id, row_number() OVER (PARTITION BY venue_id ORDER BY fill_ts, fill_id) AS route_sequence FROM fills"""))
 def w6(spark, d):
-    return derived.ordinal(s.fills(spark, d), ["venue_id"], ["fill_ts", "fill_id"], "route_sequence", F.unix_micros("fill_ts")).select("fill_id", "route_sequence")
+    return derived.ordinal(s.fills(spark, d), ["venue_id"], ["fill_ts", "fill_id"], "route_sequence").select("fill_id", "route_sequence")
 
 
 @query("W7_allocation_share", s.with_stage("lines_s", """

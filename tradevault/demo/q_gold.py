@@ -187,6 +187,11 @@ def order_fact(spark, d, dm, events=None):
 SKS = "dim_party_sk dim_instrument_sk dim_venue_sk dim_account_sk dim_desk_sk dim_trader_sk counterparty_party_sk".split()
 
 
+def stored_fact(spark, d):
+    """The order event fact as a pipeline stores it; G11 is the step that builds it."""
+    return s.stored(spark, d, "fact_order_events", lambda sp, dd: order_fact(sp, dd, dim_map(sp, dd, *ALL_DIMS)))
+
+
 @query("G11_order_event_fact", s.with_dims("order_events", " ".join(ALL_DIMS), FACT_SQL + f"""
 SELECT firm_roe_id, cat_order_id, cat_event_code, {', '.join(SKS)}, CAST(event_date AS VARCHAR) AS event_date, side,
   CAST(quantity AS DOUBLE) AS quantity, CAST(price AS DOUBLE) AS price, dv2_source_hk FROM fact"""))
@@ -289,8 +294,7 @@ WINDOW w AS (PARTITION BY f.cat_order_id ORDER BY f.event_timestamp, coalesce(f.
 def v1(spark, d):
     dm = dim_map(spark, d, *ALL_DIMS)
     et = dims.dim_event_type(spark)
-    fact = order_fact(spark, d, dm, views.with_sequence(s.order_events(spark, d), et))
-    out = views.order_reconstruction(fact, et, dm["party"], dm["instrument"], dm["venue"], dm["account"])
+    out = views.order_reconstruction(stored_fact(spark, d), et, dm["party"], dm["instrument"], dm["venue"], dm["account"])
     return out.select(
         "cat_order_id", "firm_roe_id", "cat_event_code", "event_name", "event_phase", "reporting_firm_name", "symbol",
         "asset_class", "venue_mic", "account_type", "side", "quantity", "dv2_source_hk", "lifecycle_sequence",
@@ -414,9 +418,8 @@ LEFT JOIN dim_desk k ON f.dim_desk_sk = k.dim_desk_sk WHERE f.cat_event_code = '
 def v3(spark, d):
     dm = dim_map(spark, d, *ALL_DIMS)
     et = dims.dim_event_type(spark)
-    fact = order_fact(spark, d, dm, views.executions_only(s.order_events(spark, d), et))
     out = views.best_execution_audit(
-        fact, et, dm["party"], dm["instrument"], dm["venue"], dm["trader"], dm["desk"]
+        stored_fact(spark, d), et, dm["party"], dm["instrument"], dm["venue"], dm["trader"], dm["desk"]
     )
     return out.select(
         "dv2_source_hk", "cat_event_code", "event_name", "symbol", "execution_venue_mic", "venue_category", "side", "execution_price",

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tradevault.demo import stage as s
-from tradevault.demo.q_gold import CODE_TYPES, FACT_SQL, dim, order_fact, order_span, stored_dim, dim_map, ALL_DIMS
+from tradevault.demo.q_gold import CODE_TYPES, FACT_SQL, dim, order_fact, order_span, stored_dim, stored_fact, dim_map, ALL_DIMS
 from tradevault.demo.registry import query
 from tradevault.functions.scalars import change_operation, code_list, is_hashed, mask_hash, operating_or_segment, resolve_identifier
 from tradevault.operators import interval, quality
@@ -235,14 +235,17 @@ def j6(spark, d):
     return out.select("multileg_leg_hk", "multileg_order_hk", "leg_seq", "instrument_sk")
 
 
-STRATEGIES = [("SINGLE", 1, 1), ("VERTICAL", 2, 2), ("BUTTERFLY", 3, 4), ("CUSTOM", 4, 50)]
+STRATEGIES = [("SINGLE", 1, 1), ("VERTICAL", 2, 2), ("BUTTERFLY", 3, 4), ("CUSTOM", 4, 50), ("BASKET", 60, 100), ("INDEX", 90, None)]
 
 
 @query("G18_strategy_match", s.with_stage("lines_s", """
-WITH n AS (SELECT order_id, COUNT(*) AS leg_count FROM lines_s GROUP BY 1)
-SELECT order_id, leg_count, k AS multileg_strategy_bk FROM n LEFT JOIN (VALUES ('SINGLE',1,1),('VERTICAL',2,2),('BUTTERFLY',3,4),('CUSTOM',4,50)) t(k,a,b) ON leg_count BETWEEN a AND b"""))
+WITH n AS (SELECT order_id, COUNT(*) AS leg_count FROM lines_s GROUP BY 1 UNION ALL SELECT -1 - instrument_id, COUNT(*) FROM lines_s GROUP BY 1)
+SELECT order_id, leg_count, k AS multileg_strategy_bk FROM n
+LEFT JOIN (VALUES ('SINGLE',1,1),('VERTICAL',2,2),('BUTTERFLY',3,4),('CUSTOM',4,50),('BASKET',60,100),('INDEX',90,NULL)) t(k,a,b) ON leg_count >= a AND leg_count <= coalesce(b, leg_count)"""))
 def g18(spark, d):
-    head = s.lines(spark, d).groupBy("order_id").agg(F.count("*").alias("leg_count"))
+    # orders have few lines; the baskets of one instrument's lines reach the bands above 50
+    lines = s.lines(spark, d)
+    head = lines.select("order_id").unionByName(lines.select((F.lit(-1) - F.col("instrument_id")).alias("order_id"))).groupBy("order_id").agg(F.count("*").alias("leg_count"))
     st = spark.createDataFrame(STRATEGIES, "multileg_strategy_bk string, leg_count_min int, leg_count_max int").withColumn("is_current", F.lit(True))
     return facts.match_strategy(head, st).select("order_id", "leg_count", "multileg_strategy_bk")
 
@@ -417,8 +420,7 @@ def q7c(spark, d):
     from tradevault.plans.integrity import integrity_matrix
 
     dm = dim_map(spark, d, *ALL_DIMS)
-    fact = s.stored(spark, d, "fact_order_events", lambda sp, dd: order_fact(sp, dd, dm))
-    return integrity_matrix({"order_events": fact}, dm)
+    return integrity_matrix({"order_events": stored_fact(spark, d)}, dm)
 
 
 @query("J8_relationship_report", s.with_stage("lines_s", """

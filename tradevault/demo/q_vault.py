@@ -127,7 +127,7 @@ def dv6(spark, d):
     from tradevault.functions.ordered import with_ordered
 
     rows = with_ordered(
-        s.fills(spark, d), ["order_id"], ["fill_ts", "fill_id"], pos=F.unix_micros("fill_ts"), number="fill_sequence", running={"cumulative_qty": "quantity"}
+        s.fills(spark, d), ["order_id"], ["fill_ts", "fill_id"], number="fill_sequence", running={"cumulative_qty": "quantity"}
     ).withColumn("link_hk", link_key(["fill_id", "order_id"]))
     return vault.load_sat(rows, "link_hk", ["fill_sequence", "cumulative_qty"], load="fill_ts").select(
         "link_hk", "load_date", "fill_sequence", "cumulative_qty"

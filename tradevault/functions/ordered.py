@@ -1,13 +1,14 @@
 """Ordered per-key calculations that do not put a large key into one task.
 
-A plain ``Window.partitionBy(key)`` sorts every row of a key in one task, so one hot key can stall a job. Key sizes are
-therefore checked first, by one map-side combined count over the key columns. If no key exceeds ``TARGET_ROWS``, the plain
-window is used: one shuffle. Otherwise large keys are cut into chunks of their own order range, the window runs per
-(key, chunk), and one edge row per (key, chunk) carries the last/first values, counts and sums across chunks and is joined
-back on the partitioning the window already produced. Results are the same either way. At most (rows / TARGET_ROWS) keys
-can be large, which bounds what is broadcast.
-
-Rows with a NULL key form one group, as in SQL; it is never cut. With a given ``chunk`` keys must not be NULL.
+A plain ``Window.partitionBy(key)`` sorts every row of a key in one task, so one hot key can stall a job. Here a key with more
+than ``target_rows`` rows is cut into chunks of about that many rows. Cut points are quantiles of the full order (so rows that
+share a time stamp are cut by the tie-break, and outliers do not matter), taken from a hash sample of the large keys' rows. The
+window runs per (key, chunk), and one edge row per (key, chunk) carries the last/first values, counts and sums across chunks.
+
+One lazy plan serves every size: no job runs while it is built, and column types are the same with and without large keys.
+Where no key is large, the tables of cuts and edges are empty and adaptive execution drops their joins. Key sizes are counted
+with map-side combining over the key columns alone; ``sizes`` names a narrower table with the same keys to count instead, and
+``large`` takes cuts that were computed before. Rows with a NULL key form one group, as in SQL, which is cut like any other.
 """
 
 from __future__ import annotations
@@ -19,37 +20,31 @@ from pyspark.sql import functions as F
 
 from tradevault.functions.hashing import as_col
 
-_C = "__chunk"
+_C, _K, _O = "__chunk", "__key", "__order"
 TARGET_ROWS = 2_000_000
+#: Sampled rows per chunk: a chunk deviates from the target by a few parts in a hundred.
+SAMPLES_PER_CHUNK = 1000
 
 
-def large_keys(df: DataFrame, keys: Sequence[str], pos: Column, target_rows: int) -> DataFrame:
-    """Keys with more rows than the target, with the start and the step that cut their range of ``pos`` into chunks."""
-    size = df.select(*keys, pos.alias("__pos")).groupBy(*keys).agg(
-        F.min("__pos").alias("__lo"), F.max("__pos").alias("__hi"), F.count("*").alias("__n")
-    )
-    # in doubles: a range of microseconds times the target does not fit a long
-    step = F.ceil((F.col("__hi").cast("double") - F.col("__lo").cast("double") + 1) * (F.lit(float(target_rows)) / F.col("__n")))
-    return size.filter(F.col("__n") > target_rows).select(*keys, "__lo", F.greatest(F.lit(1), step).alias("__step"))
+def packed(cols: Sequence[Column | str]) -> Column:
+    """Columns as one struct. A struct of NULLs is not NULL, so NULL keys group and join like others."""
+    return F.struct(*[as_col(c).alias(f"c{i}") for i, c in enumerate(cols)])
 
 
-def with_chunks(df: DataFrame, keys: Sequence[str], pos: Column, large: DataFrame) -> DataFrame:
-    """Add the chunk number: 0 for keys of normal size. Counts are exact, so a recomputed task sees the same chunks."""
-    step = F.floor((pos - F.col("__lo")) / F.col("__step"))
-    joined = df.join(F.broadcast(large), list(keys), "left")
-    return joined.withColumn(_C, F.coalesce(step, F.lit(0))).drop("__lo", "__step")
+def large_keys(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], target_rows: int = TARGET_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+    """(key, cuts): the keys with more than ``target_rows`` rows and the sorted cut points of their order.
 
-
-def _plain(df, keys, order, lag, lead, number, running, fill) -> DataFrame:
-    line = Window.partitionBy(*keys).orderBy(*order)
-    upto = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = [F.lag(as_col(c)).over(line).alias(o) for o, c in lag.items()]
-    cols += [F.lead(as_col(c)).over(line).alias(o) for o, c in lead.items()]
-    if number:
-        cols.append(F.row_number().over(line).cast("long").alias(number))
-    cols += [F.sum(as_col(c)).over(upto).alias(o) for o, c in running.items()]
-    cols += [F.last(as_col(c), ignorenulls=True).over(upto).alias(o) for o, c in fill.items()]
-    return df.select("*", *cols)
+    At most (rows / target_rows) keys come out, with (rows of the key / target_rows) cuts each. The sample is drawn by a
+    hash of the order columns, so a recomputed task sees the same cuts.
+    """
+    n = (df if sizes is None else sizes).groupBy(packed(keys).alias(_K)).agg(F.count("*").alias("__n")).filter(F.col("__n") > target_rows)
+    rows = df.select(packed(keys).alias(_K), packed(order).alias(_O)).join(F.broadcast(n), _K)
+    rate = F.least(F.lit(1.0), F.lit(float(SAMPLES_PER_CHUNK)) / target_rows)
+    drawn = rows.filter(F.pmod(F.xxhash64(_O), F.lit(1 << 30)) < rate * (1 << 30))
+    line = drawn.groupBy(_K).agg(F.sort_array(F.collect_list(_O)).alias("__line"), F.max("__n").alias("__n"))
+    chunks = F.ceil(F.col("__n") / target_rows).cast("int")
+    at = F.transform(F.sequence(F.lit(1), chunks - 1), lambda i: F.floor(F.size("__line") * i / chunks).cast("int") + 1)
+    return line.select(_K, F.array_distinct(F.transform(at, lambda i: F.get(F.col("__line"), i - 1))).alias("__cuts"))
 
 
 def with_ordered(
@@ -58,8 +53,9 @@ def with_ordered(
     order: Sequence[Column | str],
     chunk: Column | None = None,
     *,
-    pos: Column | None = None,
     target_rows: int | None = None,
+    sizes: DataFrame | None = None,
+    large: DataFrame | None = None,
     lag: Mapping[str, Column | str] | None = None,
     lead: Mapping[str, Column | str] | None = None,
     number: str | None = None,
@@ -68,39 +64,41 @@ def with_ordered(
 ) -> DataFrame:
     """Add ordered columns to ``df``.
 
-    ``order`` is ascending and must be unique within a key; ``chunk`` (or ``pos``, to size chunks by data) must not
-    decrease along it.
+    ``order`` is ascending and must be unique within a key. A given ``chunk`` (which must not decrease along the order) replaces
+    the cuts: every key is cut by it.
     ``lag``/``lead`` give the previous/next value, ``number`` a 1-based ordinal, ``running`` a sum up to and including
     the row, ``fill`` the last non-null value up to and including the row.
     """
     lag, lead, running, fill = dict(lag or {}), dict(lead or {}), dict(running or {}), dict(fill or {})
-    inner = Window.partitionBy(*keys, _C).orderBy(*order)
+    inner = Window.partitionBy(_K, _C).orderBy(*order)
     upto = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     cols = [F.row_number().over(inner).alias("__rn"), F.lead(F.lit(True)).over(inner).isNull().alias("__tail")]
     # values are wrapped in a struct so that "no neighbour" and "neighbour holds NULL" stay apart
     if lag:
-        packed = F.struct(*[as_col(c).alias(o) for o, c in lag.items()])
-        cols += [packed.alias("__self"), F.lag(packed).over(inner).alias("__lag")]
+        this = F.struct(*[as_col(c).alias(o) for o, c in lag.items()])
+        cols += [this.alias("__self"), F.lag(this).over(inner).alias("__lag")]
     if lead:
-        packed = F.struct(*[as_col(c).alias(o) for o, c in lead.items()])
-        cols += [F.lead(packed).over(inner).alias("__lead"), F.first(packed).over(upto).alias("__head")]
+        this = F.struct(*[as_col(c).alias(o) for o, c in lead.items()])
+        cols += [F.lead(this).over(inner).alias("__lead"), F.first(this).over(upto).alias("__head")]
     for o, c in running.items():
         cols.append(F.sum(as_col(c)).over(upto).alias(f"__sum_{o}"))
     for o, c in fill.items():
         cols.append(F.last(as_col(c), ignorenulls=True).over(upto).alias(f"__fill_{o}"))
-    if chunk is None and pos is None:
-        raise ValueError("give chunk or pos")
+
+    keyed = df.withColumn(_K, packed(keys))
     if chunk is None:
-        large = large_keys(df, keys, pos, target_rows or TARGET_ROWS)
-        if large.isEmpty():
-            return _plain(df, keys, order, lag, lead, number, running, fill)
-        chunked = with_chunks(df, keys, pos, large)
+        cuts = large_keys(df, keys, order, target_rows or TARGET_ROWS, sizes) if large is None else large
+        here = packed(order)
+        passed = F.size(F.filter("__cuts", lambda c: c <= here))
+        # keys of normal size have no cuts, chunk 0 and no edges
+        chunked = keyed.join(F.broadcast(cuts), _K, "left").withColumn(_C, F.coalesce(F.when(F.col("__cuts").isNotNull(), passed), F.lit(0)))
+        chunked = chunked.withColumn("__cut", F.col("__cuts").isNotNull()).drop("__cuts")
     else:
-        chunked = df.withColumn(_C, chunk)
+        chunked = keyed.withColumn(_C, chunk).withColumn("__cut", F.lit(True))
     main = chunked.select("*", *cols)
 
-    across = Window.partitionBy(*keys).orderBy(_C)
+    across = Window.partitionBy(_K).orderBy(_C)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     carried = []
     if lag:
@@ -113,8 +111,8 @@ def with_ordered(
         carried.append(F.sum(f"__sum_{o}").over(before).alias(f"__c_sum_{o}"))
     for o in fill:
         carried.append(F.last(f"__fill_{o}", ignorenulls=True).over(before).alias(f"__c_fill_{o}"))
-    edges = main.filter("__tail").select(*keys, _C, *carried)
-    joined = main.join(edges, [*keys, _C], "left")
+    edges = main.filter("__tail and __cut").select(_K, _C, *carried)
+    joined = main.join(edges, [_K, _C], "left")
 
     out = [F.col(c) for c in df.columns]
     if lag:
@@ -129,15 +127,16 @@ def with_ordered(
         total = F.when(F.col(f"__c_sum_{o}").isNull(), F.col(f"__sum_{o}")).otherwise(
             F.col(f"__c_sum_{o}") + F.coalesce(F.col(f"__sum_{o}"), F.lit(0))
         )
-        out.append(total.alias(o))
+        out.append(total.cast(main.schema[f"__sum_{o}"].dataType).alias(o))
     for o in fill:
         out.append(F.coalesce(f"__fill_{o}", f"__c_fill_{o}").alias(o))
     return joined.select(*out)
 
 
 def share_of(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Each row's share of its key's total. The total is aggregated map-side first and joined back, so a hot key is
-    never gathered; AQE splits the hot join partition."""
-    total = df.groupBy(*keys).agg(F.sum(value).alias("__total"))
+    """Each row's share of its key's total; rows with a NULL key share one total. The total is aggregated map-side first and
+    joined back, so a hot key is never gathered; AQE splits the hot join partition."""
+    keyed = df.withColumn(_K, packed(keys))
+    total = keyed.groupBy(_K).agg(F.sum(value).alias("__total"))
     part = F.col(value).cast("double") / F.col("__total").cast("double")
-    return df.join(total, list(keys), "left").withColumn(out, F.when(F.col("__total") != 0, part)).drop("__total")
+    return keyed.join(total, _K, "left").withColumn(out, F.when(F.col("__total") != 0, part)).drop("__total", _K)

@@ -1,4 +1,4 @@
-"""Ownership and desk hierarchies, walked level by level with a checkpoint per level."""
+"""Ownership and desk hierarchies, walked level by level with a checkpoint per level until no path can grow."""
 
 from __future__ import annotations
 
@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from tradevault.session import cut
 
 
-def ownership_chains(edges: DataFrame, max_depth: int = 12) -> DataFrame:
+def ownership_chains(edges: DataFrame) -> DataFrame:
     """Every simple ownership path from a party up to an owner that nobody owns.
 
     ``edges``: owner, owned, pct (fraction as double). The share multiplies along the path; a path never visits a party
-    twice, so cycles end. Each level is one equi join on the frontier.
+    twice, so cycles end and so does the walk. Each level is one equi join on the frontier. ``ownership_totals`` folds the paths per
+    party and owner; ``unresolved_parties`` lists those without an owner outside of cycles.
     """
     up = edges.select(F.col("owned").alias("__at"), F.col("owner").alias("__to"), F.col("pct").alias("__pct"))
     owned = edges.select(F.col("owned").alias("owner")).distinct()
@@ -25,16 +26,14 @@ def ownership_chains(edges: DataFrame, max_depth: int = 12) -> DataFrame:
         ).filter("owner <> party")
     )
     done = []
-    for depth in range(1, max_depth + 1):
+    while True:
         done.append(frontier.join(owned, "owner", "left_anti").select(*frontier.columns))
-        if depth == max_depth:
-            break
         step = (
             frontier.join(up, F.col("owner") == F.col("__at"))
             .filter(~F.expr("array_contains(path, __to)"))
             .select(
                 "party", F.col("__to").alias("owner"), (F.col("effective_pct") * F.col("__pct")).alias("effective_pct"),
-                F.lit(depth + 1).alias("chain_depth"), F.array_append("path", F.col("__to")).alias("path"),
+                (F.col("chain_depth") + 1).alias("chain_depth"), F.array_append("path", F.col("__to")).alias("path"),
             )
         )
         frontier = cut(step)
@@ -43,23 +42,39 @@ def ownership_chains(edges: DataFrame, max_depth: int = 12) -> DataFrame:
     return reduce(DataFrame.unionByName, done).withColumnRenamed("owner", "ultimate_owner")
 
 
-def hierarchy_paths(nodes: DataFrame, node: str, parent: str, max_depth: int = 12) -> DataFrame:
-    """Slash-separated path from the root for every node reachable from a root (parent NULL)."""
+def ownership_totals(chains: DataFrame) -> DataFrame:
+    """Share, shortest chain and number of chains per party and ultimate owner."""
+    return chains.groupBy("party", "ultimate_owner").agg(
+        F.sum("effective_pct").alias("effective_pct"), F.min("chain_depth").alias("chain_depth"), F.count("*").alias("chains")
+    )
+
+
+def unresolved_parties(edges: DataFrame, chains: DataFrame) -> DataFrame:
+    """Owned parties without a chain: all their owners sit in a cycle."""
+    owned = edges.filter("owner <> owned").select(F.col("owned").alias("party")).distinct()
+    return owned.join(chains.select("party").distinct(), "party", "left_anti")
+
+
+def hierarchy_paths(nodes: DataFrame, node: str, parent: str) -> DataFrame:
+    """Slash-separated path from the root for every node reachable from a root (parent NULL).
+
+    A node under several parents has one path per parent; what is reached from a root holds no cycle only if no path repeats
+    a node, so a path stops where it would.
+    """
     level = cut(
         nodes.filter(F.col(parent).isNull()).select(
-            F.col(node), F.lit(1).alias("depth"), F.col(node).cast("string").alias("path")
+            F.col(node), F.lit(1).alias("depth"), F.col(node).cast("string").alias("path"), F.array(F.col(node)).alias("__seen")
         )
     )
     kids = nodes.filter(F.col(parent).isNotNull()).select(F.col(node).alias("__kid"), F.col(parent).alias("__up"))
-    levels = [level]
-    for depth in range(2, max_depth + 1):
+    levels = []
+    while True:
+        levels.append(level.drop("__seen"))
         level = cut(
-            level.join(kids, F.col(node) == F.col("__up")).select(
-                F.col("__kid").alias(node), F.lit(depth).alias("depth"),
-                F.concat_ws("/", "path", F.col("__kid").cast("string")).alias("path"),
+            level.join(kids, F.col(node) == F.col("__up")).filter(~F.expr("array_contains(__seen, __kid)")).select(
+                F.col("__kid").alias(node), (F.col("depth") + 1).alias("depth"),
+                F.concat_ws("/", "path", F.col("__kid").cast("string")).alias("path"), F.array_append("__seen", F.col("__kid")).alias("__seen"),
             )
         )
         if level.isEmpty():
-            break
-        levels.append(level)
-    return reduce(DataFrame.unionByName, levels)
+            return reduce(DataFrame.unionByName, levels)

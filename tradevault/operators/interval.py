@@ -122,6 +122,6 @@ def asof_join(
     lrows = left.select(*keys, at(left_ts), F.lit(1).alias("__kind"), row.alias("__row"))
     both = lrows.unionByName(r, allowMissingColumns=True)
     filled = with_ordered(
-        both, list(keys), ["__t", "__kind", "__tie"], pos=F.col("__t"), target_rows=target_rows, fill={"__found": "__hit"}
+        both, list(keys), ["__t", "__kind", "__tie"], target_rows=target_rows, fill={"__found": "__hit"}
     ).filter("__kind = 1")
     return filled.select("__row.*", *[F.col("__found")[o].alias(o) for o in take])

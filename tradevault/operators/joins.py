@@ -28,16 +28,15 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> Da
     return fact
 
 
-def expand_left(parent: DataFrame, child: DataFrame, key: str, target_rows: int = TARGET_ROWS) -> DataFrame:
+def expand_left(parent: DataFrame, child: DataFrame, key: str, target_rows: int = TARGET_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """Left join of one parent row to its many children, safe for a parent that owns most children.
 
-    Adaptive execution can only split the left side of a left join. Child counts are checked first; if a key exceeds the
-    target, its children are salted and its parent row is repeated once per salt. At most (children / target) keys are
-    salted, which bounds what is broadcast.
+    Adaptive execution can only split the left side of a left join. So the children of a key above the target are salted and
+    its parent row is repeated once per salt; all other keys have one salt. One lazy plan serves every size. ``sizes`` names a
+    narrower table with the child keys to count. At most (children / target) keys are salted, which bounds what is broadcast.
     """
-    sizes = child.groupBy(key).agg(F.count("*").alias("__n")).filter(F.col("__n") > target_rows)
-    if sizes.isEmpty():
-        return parent.join(child, key, "left")
+    counted = (child if sizes is None else sizes).groupBy(key).agg(F.count("*").alias("__n"))
+    sizes = counted.filter((F.col("__n") > target_rows) & F.col(key).isNotNull())
     splits = F.broadcast(sizes.select(key, F.ceil(F.col("__n") / target_rows).cast("int").alias("__splits")))
     salts = F.explode(F.sequence(F.lit(0), F.coalesce("__splits", F.lit(1)) - 1))
     p = parent.join(splits, key, "left").withColumn("__salt", salts)
@@ -84,14 +83,17 @@ def reconcile(
     internal: DataFrame, external: DataFrame, keys: Sequence[str], measure: str, *, tolerance: float = 0.0
 ) -> DataFrame:
     """Two-sided comparison; the break is the external value minus the internal one, an absent side counts as zero."""
-    i = internal.groupBy(*keys).agg(F.sum(measure).alias("internal_value"))
-    e = external.groupBy(*keys).agg(F.sum(measure).alias("external_value"))
+    # a NULL key is a key of its own, so it is matched as part of a struct
+    key = F.struct(*keys).alias("__key")
+    i = internal.groupBy(key).agg(F.sum(measure).alias("internal_value"), F.lit(True).alias("__i"))
+    e = external.groupBy(key).agg(F.sum(measure).alias("external_value"), F.lit(True).alias("__e"))
     zero = F.lit(0)
     gap = F.coalesce("external_value", zero) - F.coalesce("internal_value", zero)
     status = (
-        F.when(F.col("internal_value").isNull(), "EXTERNAL_ONLY")
-        .when(F.col("external_value").isNull(), "INTERNAL_ONLY")
+        F.when(F.col("__i").isNull(), "EXTERNAL_ONLY")
+        .when(F.col("__e").isNull(), "INTERNAL_ONLY")
         .when(F.abs("break_value") <= F.lit(tolerance), "MATCHED")
         .otherwise("BROKEN")
     )
-    return i.join(e, list(keys), "full_outer").withColumn("break_value", gap).withColumn("reconciliation_status", status)
+    out = i.join(e, "__key", "full_outer").withColumn("break_value", gap).withColumn("reconciliation_status", status)
+    return out.select(*[F.col("__key")[k].alias(k) for k in keys], "internal_value", "external_value", "break_value", "reconciliation_status")

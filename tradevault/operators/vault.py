@@ -48,20 +48,26 @@ def load_link(
 def load_sat(
     stage: DataFrame, hk: str, attrs: Sequence[str], load: str = "load_date", *,
     sub_keys: Sequence[str] = (), tie: Sequence[str] = (), existing: DataFrame | None = None, chunk: Column | None = None,
+    source: Column | str | None = None,
 ) -> DataFrame:
     """Change-only satellite rows: a row is new when its attribute hash differs from the row before it.
 
-    Existing rows take part in the ordering, so a late row is placed correctly; only rows not yet stored are returned.
-    ``sub_keys`` makes the satellite multi-active; ``tie`` orders rows of equal load time.
+    There is one row per key and load time: of rows with equal load time the last by ``tie`` (then by hash) counts, and a stored
+    one stays. Existing rows take part in the ordering, so a late row is placed correctly; only rows not yet stored are
+    returned. ``sub_keys`` makes the satellite multi-active; ``source`` fills record_source.
     """
     keys = [hk, *sub_keys]
-    rows = stage.select(*keys, F.col(load).alias("load_date"), *tie, row_hash(attrs).alias("hash_diff"), *attrs)
+    extra = [] if source is None else [(F.lit(source) if isinstance(source, str) else source).alias("record_source")]
+    rows = stage.select(*keys, F.col(load).alias("load_date"), *tie, row_hash(attrs).alias("hash_diff"), *attrs, *extra)
     rows = rows.withColumn("__stored", F.lit(False))
     if existing is not None:
-        old = existing.select(*keys, "load_date", "hash_diff", *attrs).withColumn("__stored", F.lit(True))
+        kept = [c for c in ("record_source",) if extra and c in existing.columns]
+        old = existing.select(*keys, "load_date", "hash_diff", *attrs, *kept).withColumn("__stored", F.lit(True))
         rows = rows.unionByName(old, allowMissingColumns=True)
-    order = ["load_date", (~F.col("__stored")), *tie, "hash_diff"]
-    out = collapse_repeats(rows, keys, order, "hash_diff", chunk, F.unix_micros("load_date"))
+    rest = [c for c in rows.columns if c not in (*keys, "load_date")]
+    last = F.max_by(F.struct(*rest), F.struct("__stored", *tie, "hash_diff"))
+    rows = rows.groupBy(*keys, "load_date").agg(last.alias("__r")).select(*keys, "load_date", "__r.*")
+    out = collapse_repeats(rows, keys, ["load_date"], "hash_diff", chunk)
     return out.filter(~F.col("__stored")).drop("__stored")
 
 
@@ -86,7 +92,7 @@ def build_pit(
         days = sat.groupBy(hk, F.to_date(loads).alias("snapshot_date")).agg(F.max(loads).alias(f"__{name}"))
         line = line.unionByName(days.withColumn("__snap", F.lit(0)), allowMissingColumns=True)
     filled = with_ordered(
-        line, [hk], ["snapshot_date", "__snap"], pos=F.unix_date("snapshot_date").cast("long"),
+        line, [hk], ["snapshot_date", "__snap"],
         fill={f"{name}_load_date": f"__{name}" for name in sats},
     )
     return filled.filter("__snap = 1").select(hk, "snapshot_date", *[f"{name}_load_date" for name in sats])
@@ -111,13 +117,16 @@ def as_of(
     return out
 
 
+def load_ref_hub(stage: DataFrame, code: str, source: str, load: Column, existing: DataFrame | None = None) -> DataFrame:
+    """Reference hub: one row per code, with its hash key, first load time and lineage; codes already stored are left out."""
+    rows = stage.filter(F.col(code).isNotNull()).select(F.col(code), load.alias("load_date"))
+    out = rows.groupBy(code).agg(F.min("load_date").alias("load_date"))
+    out = out.select(hash_key([code], F.lit(source)).alias(f"{code}_hk"), code, "load_date", F.lit(source).alias("record_source"))
+    return _unseen(out, existing, [code])
+
+
 def load_ref(stage: DataFrame, attrs: Sequence[str], source: str, load: Column) -> DataFrame:
     """Reference table pass-through with load time, attribute hash and lineage."""
     return stage.withColumns(
         {"load_date": load, "hash_diff": row_hash(attrs), "record_source": F.lit(source)}
     )
-
-
-def half_open_at(sat: DataFrame, ts: Column) -> DataFrame:
-    """Rows of an end-dated satellite in force at a moment."""
-    return sat.filter((F.col("load_date") <= ts) & (F.col("load_end_date").isNull() | (F.col("load_end_date") > ts)))

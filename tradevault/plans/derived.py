@@ -157,7 +157,7 @@ def fail_rate(settlements: DataFrame, by: Sequence[str], penalty_rate: float = 0
 def fill_progress(execs: DataFrame, order_quantity: str = "order_quantity") -> DataFrame:
     """Fill ordinal, cumulative and leaves quantity, and the fill's share of the order quantity."""
     out = with_ordered(
-        execs, ["order_id"], ["fill_ts", "fill_id"], pos=F.unix_micros("fill_ts"),
+        execs, ["order_id"], ["fill_ts", "fill_id"],
         number="fill_sequence", running={"cumulative_qty": "quantity"},
     )
     return out.withColumns(
@@ -168,13 +168,13 @@ def fill_progress(execs: DataFrame, order_quantity: str = "order_quantity") -> D
     )
 
 
-def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str, pos: Column) -> DataFrame:
-    return with_ordered(df, keys, order, pos=pos, number=out)
+def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str) -> DataFrame:
+    return with_ordered(df, keys, order, number=out)
 
 
-def monotonic_violations(df: DataFrame, part: Sequence[str], order: Sequence[str], value: str, pos: Column) -> DataFrame:
+def monotonic_violations(df: DataFrame, part: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
     """Rows whose value is below the value before it in the order."""
-    seen = with_ordered(df, part, order, pos=pos, lag={"previous_value": value})
+    seen = with_ordered(df, part, order, lag={"previous_value": value})
     return seen.filter(F.col(value) < F.col("previous_value"))
 
 
@@ -204,7 +204,7 @@ def allocate(fills: DataFrame, instructions: DataFrame, key: str, fill: str = "f
     )
     left = rows.groupBy(fill).agg((F.max(F.col(qty).cast("long")) - F.sum("__base")).alias("__left"))
     ranked = with_ordered(
-        rows, [fill], [-F.col("__rem"), "account_id"], pos=-F.col("__rem"), number="__rank"
+        rows, [fill], [-F.col("__rem"), "account_id"], number="__rank"
     )
     units = F.col("__base") + F.when(F.col("__rank") <= F.col("__left"), 1).otherwise(0)
     return ranked.join(left, fill).withColumn("allocated_units", units).drop("__w", "__total", "__base", "__rem", "__rank", "__left")

@@ -89,24 +89,37 @@ def dim_date(
 
 
 def add_business_days(df: DataFrame, date_col: str, n: int, calendar: DataFrame, out: str) -> DataFrame:
-    """The n-th trading day after a date: two equi joins on the trading-day ordinal."""
+    """The n-th trading day after a date: two equi joins on the trading-day ordinal. A date outside the calendar, or whose
+    n-th day is, stops the job; a NULL date stays NULL."""
     at = calendar.select(F.col("calendar_date").alias("__d"), F.col("trading_day_no").alias("__no"))
     to = calendar.filter("is_trading_day").select(F.col("trading_day_no").alias("__to"), F.col("calendar_date").alias(out))
     return (
         df.join(F.broadcast(at), F.col(date_col) == F.col("__d"), "left")
         .join(F.broadcast(to), F.col("__no") + n == F.col("__to"), "left")
+        .withColumn(out, in_calendar(out, date_col))
         .drop("__d", "__no", "__to")
     )
 
 
+def in_calendar(found: str, *dates: str) -> Column:
+    """The value found, or a stop if all dates are given and the calendar does not hold them."""
+    given = F.col(dates[0]).isNotNull()
+    for d in dates[1:]:
+        given = given & F.col(d).isNotNull()
+    text = F.concat_ws(" ", F.lit("calendar does not reach"), *[F.col(d).cast("string") for d in dates])
+    return F.when(F.col(found).isNull() & given, F.raise_error(text)).otherwise(F.col(found))
+
+
 def business_days_between(df: DataFrame, start: str, end: str, calendar: DataFrame, out: str) -> DataFrame:
-    """Trading days after ``start`` up to and including ``end``; negative when ``end`` is earlier."""
+    """Trading days after ``start`` up to and including ``end``; negative when ``end`` is earlier. Dates outside the calendar
+    stop the job."""
     a = calendar.select(F.col("calendar_date").alias("__a"), F.col("trading_day_no").alias("__an"))
     b = calendar.select(F.col("calendar_date").alias("__b"), F.col("trading_day_no").alias("__bn"))
     return (
         df.join(F.broadcast(a), F.col(start) == F.col("__a"), "left")
         .join(F.broadcast(b), F.col(end) == F.col("__b"), "left")
         .withColumn(out, F.col("__bn") - F.col("__an"))
+        .withColumn(out, in_calendar(out, start, end))
         .drop("__a", "__an", "__b", "__bn")
     )
 

@@ -15,23 +15,118 @@ from tradevault.operators.scd2 import latest_by
 from tradevault.plans import rules
 
 # fixed values: event codes per fact
-OPTION_ORDER_CODES = (
-    "MONO MONOS MOOR MOMR MOCR MOORS MOMRS MOCRS MOOA MOIR MOIM MOIC MOIMR MOICR MOCO MOCOM MOCOC "
-    "MOOM MOOMS MOOMR MOOJ MOOC MOOCR MONQ MORQ MOQR MOQC MOQM MOOE"
-).split()
-OPTION_EXECUTION_CODES = "MOOT MOOF MOOFS MOFA".split()
-OPTION_ALLOCATION_CODES = "MOPA MOAA".split()
-MULTILEG_CODES = (
-    "MLNO MLOR MLMR MLCR MLOA MLIR MLIM MLIC MLIMR MLICR MLCO MLCOM MLCOC MLOM MLOMR MLOC MLOCR "
-    "MLNQ MLRQ MLQS MLQR MLQC MLQM MLOS MLOE"
-).split()
-EQUITY_EXECUTION_CODES = "MEOT MEOTS".split()
-EQUITY_ALLOCATION_CODES = "MEPA MEAA".split()
-EQUITY_QUOTE_CODES = "MENQ MENQS MERQ MERQS MEQR MEQC MEQM MEQS".split()
-EQUITY_ORDER_CODES = (
-    "MENO MENOS MEOR MEORS MEMR MEMRS MECR MECRS MEOA MEIR MEIM MEIC MEIMR MEICR "
-    "MECO MECOM MECOC MEOM MEOMS MEOMR MEOJ MEOC MEOCR MEOE"
-).split()
+OPTION_ORDER_CODES = [
+    "MONO",
+    "MONOS",
+    "MOOR",
+    "MOMR",
+    "MOCR",
+    "MOORS",
+    "MOMRS",
+    "MOCRS",
+    "MOOA",
+    "MOIR",
+    "MOIM",
+    "MOIC",
+    "MOIMR",
+    "MOICR",
+    "MOCO",
+    "MOCOM",
+    "MOCOC",
+    "MOOM",
+    "MOOMS",
+    "MOOMR",
+    "MOOJ",
+    "MOOC",
+    "MOOCR",
+    "MONQ",
+    "MORQ",
+    "MOQR",
+    "MOQC",
+    "MOQM",
+    "MOOE",
+]
+OPTION_EXECUTION_CODES = [
+    "MOOT",
+    "MOOF",
+    "MOOFS",
+    "MOFA",
+]
+OPTION_ALLOCATION_CODES = [
+    "MOPA",
+    "MOAA",
+]
+MULTILEG_CODES = [
+    "MLNO",
+    "MLOR",
+    "MLMR",
+    "MLCR",
+    "MLOA",
+    "MLIR",
+    "MLIM",
+    "MLIC",
+    "MLIMR",
+    "MLICR",
+    "MLCO",
+    "MLCOM",
+    "MLCOC",
+    "MLOM",
+    "MLOMR",
+    "MLOC",
+    "MLOCR",
+    "MLNQ",
+    "MLRQ",
+    "MLQS",
+    "MLQR",
+    "MLQC",
+    "MLQM",
+    "MLOS",
+    "MLOE",
+]
+EQUITY_EXECUTION_CODES = [
+    "MEOT",
+    "MEOTS",
+]
+EQUITY_ALLOCATION_CODES = [
+    "MEPA",
+    "MEAA",
+]
+EQUITY_QUOTE_CODES = [
+    "MENQ",
+    "MENQS",
+    "MERQ",
+    "MERQS",
+    "MEQR",
+    "MEQC",
+    "MEQM",
+    "MEQS",
+]
+EQUITY_ORDER_CODES = [
+    "MENO",
+    "MENOS",
+    "MEOR",
+    "MEORS",
+    "MEMR",
+    "MEMRS",
+    "MECR",
+    "MECRS",
+    "MEOA",
+    "MEIR",
+    "MEIM",
+    "MEIC",
+    "MEIMR",
+    "MEICR",
+    "MECO",
+    "MECOM",
+    "MECOC",
+    "MEOM",
+    "MEOMS",
+    "MEOMR",
+    "MEOJ",
+    "MEOC",
+    "MEOCR",
+    "MEOE",
+]
 
 FACT_CODES: dict[str, list[str]] = {
     "option_order": OPTION_ORDER_CODES,
@@ -44,13 +139,6 @@ FACT_CODES: dict[str, list[str]] = {
     "equity_order": EQUITY_ORDER_CODES,
 }
 
-ORDER_EVENT_COLUMNS = (
-    "received_timestamp route_timestamp order_capacity time_in_force leaves_quantity cumulative_filled_quantity "
-    "currency_code handling_instructions special_handling_codes display_instruction iso_flag short_sale_exempt_flag "
-    "solicited_flag directed_flag parent_order_id routed_to_venue_mic routed_to_firm_imid original_event_ref "
-    "correction_reason cancel_reason rejection_reason source_system"
-).split()
-
 
 def curate(df: DataFrame, mapping: Mapping[str, Column | str]) -> DataFrame:
     """Projection to an event shape: output name -> column or expression."""
@@ -161,12 +249,15 @@ def expand_legs(header: DataFrame, legs: DataFrame, leg_sat: DataFrame, dim_inst
 
 
 def match_strategy(header: DataFrame, strategies: DataFrame) -> DataFrame:
-    """Strategies whose leg-count band holds the header's count. Bands are spread to single leg counts (at most 50), so
-    the join is on equality."""
-    bands = strategies.filter("is_current").withColumn(
-        "leg_count", F.explode(F.sequence("leg_count_min", F.least("leg_count_max", F.lit(50))))
-    )
-    return header.join(bands.select("leg_count", "multileg_strategy_bk"), "leg_count", "left")
+    """Strategies whose leg-count band holds the header's count; a band without an upper end is open.
+
+    Bands are met by the distinct leg counts of the headers, a short list of numbers whatever the number of headers, and
+    the headers then join on equality.
+    """
+    bands = strategies.filter("is_current").select("leg_count_min", "leg_count_max", "multileg_strategy_bk")
+    counts = header.select("leg_count").distinct()
+    inside = (F.col("leg_count") >= F.col("leg_count_min")) & (F.col("leg_count") <= F.coalesce("leg_count_max", "leg_count"))
+    return header.join(counts.join(bands, inside).select("leg_count", "multileg_strategy_bk"), "leg_count", "left")
 
 
 IDEMPOTENCY_KEY = ["firm_roe_id", "cat_event_code", "event_date"]

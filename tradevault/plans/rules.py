@@ -12,7 +12,13 @@ COMMON = {
     "is_active_not_null": "is_active IS NOT NULL",
 }
 
+# Fixed values. The event taxonomy has suffixed codes and 99 rows, so its pattern and its band follow the taxonomy itself.
 TABLES = {
+    "ref_cat_event_type": {
+        "code_alpha_3_10": "cat_event_type_code RLIKE '^[A-Z]{3,10}$'",
+        "category_enum": "category IS NULL OR category IN ('ORDER_REQUEST','ORDER','ROUTING','MODIFICATION','EXECUTION','ALLOCATION','QUOTE','COMBINED_ORDER','REPRESENTATIVE_ORDER','MANUAL')",
+        "phase_enum": "phase IS NULL OR phase IN ('2a','2b','2c','2d','2e')",
+    },
     "ref_mic": {
         "mic_code_4_upper_alnum": "mic_code RLIKE '^[A-Z0-9]{4}$'",
         "country_code_iso3166": "country_code IS NULL OR country_code RLIKE '^[A-Z]{2}$'",

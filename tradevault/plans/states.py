@@ -1,6 +1,6 @@
 """Allowed status moves per entity.
 
-Fixed values. The first state of a line is the entry state; each line lists ``from > to`` moves. Where the source drawing
+Fixed values: (from, to) moves; the first state of a machine's first move is its entry state. Where the source drawing
 of the order status is ambiguous, cancels are read as leaving WORKING and PARTIALLY_FILLED and a bust as leaving FILLED.
 """
 
@@ -10,41 +10,153 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradevault.sources.seeds import small_frame
 
-STATE_MACHINES = """
-order_request: RECEIVED > SYSTEMATIZED, SYSTEMATIZED > ORDER_CREATED, RECEIVED > REJECTED, RECEIVED > EXPIRED
-order: NEW > ACCEPTED, ACCEPTED > WORKING, WORKING > ACCEPTED, WORKING > PARTIALLY_FILLED, PARTIALLY_FILLED > FILLED, WORKING > CANCELLED, PARTIALLY_FILLED > CANCELLED, FILLED > BUST, NEW > REJECTED, NEW > EXPIRED, WORKING > MODIFIED, MODIFIED > WORKING
-order_route: SENT > ACKNOWLEDGED, ACKNOWLEDGED > ROUTED_AT_VENUE, ACKNOWLEDGED > REJECTED, SENT > REJECTED, ACKNOWLEDGED > CANCELLED, ACKNOWLEDGED > MODIFIED, MODIFIED > ACKNOWLEDGED
-order_modification: REQUESTED > ACCEPTED, ACCEPTED > APPLIED_TO_ORDER, REQUESTED > REJECTED
-quote_request: OPEN > ANSWERED, OPEN > EXPIRED, OPEN > CANCELLED
-quote: ACTIVE > EXECUTED, ACTIVE > SUPERSEDED, ACTIVE > CANCELLED, ACTIVE > EXPIRED
-request_for_execution: RECEIVED > ACCEPTED, RECEIVED > REJECTED, RECEIVED > EXPIRED
-indication_of_interest: ACTIVE > WITHDRAWN, ACTIVE > EXPIRED
-execution: NEW > PARTIAL, PARTIAL > PARTIAL, PARTIAL > FULL, NEW > BUST, NEW > CORRECT, NEW > CANCEL
-allocation: PENDING > CONFIRMED, PENDING > REJECTED, PENDING > AMENDED, AMENDED > PENDING, PENDING > CANCELLED
-confirmation: UNCONFIRMED > AFFIRMED, UNCONFIRMED > DK, UNCONFIRMED > DISPUTED, UNCONFIRMED > CANCELLED
-match: UNMATCHED > MATCHED, UNMATCHED > ALLEGED
-clearing: SUBMITTED > ACCEPTED, ACCEPTED > NOVATED, SUBMITTED > REJECTED
-settlement: INSTRUCTED > MATCHED, MATCHED > SETTLING, SETTLING > SETTLED, SETTLING > PARTIAL, SETTLING > FAILED, INSTRUCTED > UNMATCHED
-obligation: PENDING > NETTED, NETTED > SETTLED, NETTED > FAILED
-position: UNRECONCILED > IN_PROGRESS, IN_PROGRESS > MATCHED, IN_PROGRESS > BROKEN
-position_break: OPEN > INVESTIGATING, INVESTIGATING > RESOLVED, INVESTIGATING > WRITTEN_OFF, OPEN > AGED
-agreement: DRAFT > EXECUTED, EXECUTED > ACTIVE, ACTIVE > TERMINATED, ACTIVE > AMENDED, AMENDED > ACTIVE, DRAFT > VOID
-margin_call: ISSUED > ACKNOWLEDGED, ACKNOWLEDGED > PAID, ISSUED > DISPUTED, DISPUTED > RESOLVED, RESOLVED > PAID, ISSUED > EXPIRED
-regulatory_report: GENERATED > SUBMITTED, SUBMITTED > ACCEPTED, SUBMITTED > REJECTED, REJECTED > CORRECTED, CORRECTED > SUBMITTED
-regulatory_hold: ACTIVE > RELEASED, ACTIVE > EXPIRED
-"""
+STATE_MACHINES: dict[str, list[tuple[str, str]]] = {
+    "order_request": [
+        ("RECEIVED", "SYSTEMATIZED"),
+        ("SYSTEMATIZED", "ORDER_CREATED"),
+        ("RECEIVED", "REJECTED"),
+        ("RECEIVED", "EXPIRED"),
+    ],
+    "order": [
+        ("NEW", "ACCEPTED"),
+        ("ACCEPTED", "WORKING"),
+        ("WORKING", "ACCEPTED"),
+        ("WORKING", "PARTIALLY_FILLED"),
+        ("PARTIALLY_FILLED", "FILLED"),
+        ("WORKING", "CANCELLED"),
+        ("PARTIALLY_FILLED", "CANCELLED"),
+        ("FILLED", "BUST"),
+        ("NEW", "REJECTED"),
+        ("NEW", "EXPIRED"),
+        ("WORKING", "MODIFIED"),
+        ("MODIFIED", "WORKING"),
+    ],
+    "order_route": [
+        ("SENT", "ACKNOWLEDGED"),
+        ("ACKNOWLEDGED", "ROUTED_AT_VENUE"),
+        ("ACKNOWLEDGED", "REJECTED"),
+        ("SENT", "REJECTED"),
+        ("ACKNOWLEDGED", "CANCELLED"),
+        ("ACKNOWLEDGED", "MODIFIED"),
+        ("MODIFIED", "ACKNOWLEDGED"),
+    ],
+    "order_modification": [
+        ("REQUESTED", "ACCEPTED"),
+        ("ACCEPTED", "APPLIED_TO_ORDER"),
+        ("REQUESTED", "REJECTED"),
+    ],
+    "quote_request": [
+        ("OPEN", "ANSWERED"),
+        ("OPEN", "EXPIRED"),
+        ("OPEN", "CANCELLED"),
+    ],
+    "quote": [
+        ("ACTIVE", "EXECUTED"),
+        ("ACTIVE", "SUPERSEDED"),
+        ("ACTIVE", "CANCELLED"),
+        ("ACTIVE", "EXPIRED"),
+    ],
+    "request_for_execution": [
+        ("RECEIVED", "ACCEPTED"),
+        ("RECEIVED", "REJECTED"),
+        ("RECEIVED", "EXPIRED"),
+    ],
+    "indication_of_interest": [
+        ("ACTIVE", "WITHDRAWN"),
+        ("ACTIVE", "EXPIRED"),
+    ],
+    "execution": [
+        ("NEW", "PARTIAL"),
+        ("PARTIAL", "PARTIAL"),
+        ("PARTIAL", "FULL"),
+        ("NEW", "BUST"),
+        ("NEW", "CORRECT"),
+        ("NEW", "CANCEL"),
+    ],
+    "allocation": [
+        ("PENDING", "CONFIRMED"),
+        ("PENDING", "REJECTED"),
+        ("PENDING", "AMENDED"),
+        ("AMENDED", "PENDING"),
+        ("PENDING", "CANCELLED"),
+    ],
+    "confirmation": [
+        ("UNCONFIRMED", "AFFIRMED"),
+        ("UNCONFIRMED", "DK"),
+        ("UNCONFIRMED", "DISPUTED"),
+        ("UNCONFIRMED", "CANCELLED"),
+    ],
+    "match": [
+        ("UNMATCHED", "MATCHED"),
+        ("UNMATCHED", "ALLEGED"),
+    ],
+    "clearing": [
+        ("SUBMITTED", "ACCEPTED"),
+        ("ACCEPTED", "NOVATED"),
+        ("SUBMITTED", "REJECTED"),
+    ],
+    "settlement": [
+        ("INSTRUCTED", "MATCHED"),
+        ("MATCHED", "SETTLING"),
+        ("SETTLING", "SETTLED"),
+        ("SETTLING", "PARTIAL"),
+        ("SETTLING", "FAILED"),
+        ("INSTRUCTED", "UNMATCHED"),
+    ],
+    "obligation": [
+        ("PENDING", "NETTED"),
+        ("NETTED", "SETTLED"),
+        ("NETTED", "FAILED"),
+    ],
+    "position": [
+        ("UNRECONCILED", "IN_PROGRESS"),
+        ("IN_PROGRESS", "MATCHED"),
+        ("IN_PROGRESS", "BROKEN"),
+    ],
+    "position_break": [
+        ("OPEN", "INVESTIGATING"),
+        ("INVESTIGATING", "RESOLVED"),
+        ("INVESTIGATING", "WRITTEN_OFF"),
+        ("OPEN", "AGED"),
+    ],
+    "agreement": [
+        ("DRAFT", "EXECUTED"),
+        ("EXECUTED", "ACTIVE"),
+        ("ACTIVE", "TERMINATED"),
+        ("ACTIVE", "AMENDED"),
+        ("AMENDED", "ACTIVE"),
+        ("DRAFT", "VOID"),
+    ],
+    "margin_call": [
+        ("ISSUED", "ACKNOWLEDGED"),
+        ("ACKNOWLEDGED", "PAID"),
+        ("ISSUED", "DISPUTED"),
+        ("DISPUTED", "RESOLVED"),
+        ("RESOLVED", "PAID"),
+        ("ISSUED", "EXPIRED"),
+    ],
+    "regulatory_report": [
+        ("GENERATED", "SUBMITTED"),
+        ("SUBMITTED", "ACCEPTED"),
+        ("SUBMITTED", "REJECTED"),
+        ("REJECTED", "CORRECTED"),
+        ("CORRECTED", "SUBMITTED"),
+    ],
+    "regulatory_hold": [
+        ("ACTIVE", "RELEASED"),
+        ("ACTIVE", "EXPIRED"),
+    ],
+}
 
 
 def moves(machine: str) -> list[tuple[str, str]]:
-    for line in STATE_MACHINES.strip().splitlines():
-        name, _, rest = line.partition(": ")
-        if name == machine:
-            return [tuple(p.strip() for p in pair.split(">")) for pair in rest.split(",")]
-    raise ValueError(f"no state machine {machine!r}")
+    if machine not in STATE_MACHINES:
+        raise ValueError(f"no state machine {machine!r}")
+    return STATE_MACHINES[machine]
 
 
 def machines() -> list[str]:
-    return [line.partition(": ")[0] for line in STATE_MACHINES.strip().splitlines()]
+    return list(STATE_MACHINES)
 
 
 def entry_state(machine: str) -> str:
