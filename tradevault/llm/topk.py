@@ -13,7 +13,7 @@ candidates. Each task sends k rows per query; Spark ranks them, limiting groups
 Vectors that are NULL or hold a NULL or non-finite component take no part. A query meets only vectors of its own number of
 dimensions. Candidates are all rows but the query's own: a row of the same vec_id is left out, also a repeated one. Repeated
 candidate rows count as one vector if they are equal; ties go to the smaller vec_id. Rows without vec_id take no part. Fewer than
-k candidates give fewer rows.
+k candidates give fewer rows. Scores must fit into 64 bits.
 """
 
 from __future__ import annotations
