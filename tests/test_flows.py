@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tradevault.functions import daycount
-from tradevault.operators import scd2
+from tradevault.operators import scd2, vault
 from tradevault.plans import accounts, dims, refdata, submission, vault_load, views
 from tradevault.session import work_dir
 from tradevault.sources import seeds
@@ -115,9 +115,9 @@ def test_files_and_checksum(spark):
 
 
 def test_deadline_follows_new_york_clock(spark):
-    df = spark.createDataFrame([(D(2024, 1, 2), "OrderEvents"), (D(2024, 7, 2), "Allocations"), (D(2024, 7, 2), "Other")], "d date, k string")
+    df = spark.createDataFrame([(D(2024, 1, 2), "OrderEvents"), (D(2024, 7, 2), "Allocations"), (D(2024, 7, 2), "QuoteEvents")], "d date, k string")
     got = [r[0] for r in df.select(submission.deadline("d", "k")).collect()]
-    assert got == [dt.datetime(2024, 1, 3, 11, 0), dt.datetime(2024, 7, 3, 21, 30), None]
+    assert got == [dt.datetime(2024, 1, 3, 11, 0), dt.datetime(2024, 7, 3, 21, 30), dt.datetime(2024, 7, 3, 10, 0)]
 
 
 def test_status_precedence(spark):
@@ -194,3 +194,60 @@ def test_replay_adds_nothing(spark):
     stream = spark.readStream.schema(E).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/p*")
     flows.idempotent_stream(stream, f"{base}/fact", f"{base}/cp")
     assert rows(spark.read.parquet(f"{base}/fact"), "dv2_source_hk") == [("b",), ("c",)]
+
+
+def test_a_batch_of_deletes_only(spark):
+    C = "k string, change_date date, seq long, v string, op string"
+    base = work_dir(spark, "del")
+    batches = [[("a", D(2024, 1, 1), 1, "x", "DELETE")], [("a", D(2024, 1, 3), 2, "y", "UPSERT"), ("b", D(2024, 1, 3), 3, "z", "UPSERT")], [("a", D(2024, 1, 5), 4, "y", "DELETE")]]
+    dim = flows.KeyedTable(spark, f"{base}/dim", ["k"], 4)
+    for n, part in enumerate(batches):
+        spark.createDataFrame(part, C).coalesce(1).write.parquet(f"{base}/in/p{n}")
+        stream = spark.readStream.schema(C).parquet(f"{base}/in/p*")
+        flows.scd2_stream(stream, ["k"], ["v"], dim, f"{base}/log", f"{base}/cp")
+    want = rows(scd2.scd2_build(spark.createDataFrame(sum(batches, []), C), ["k"], "change_date", ["seq"], ["v"], op_col="op"), "k", "v", "effective_end_date")
+    assert rows(dim.read(), "k", "v", "effective_end_date") == want
+    dim.drop_unused()
+    assert rows(dim.read(), "k", "v", "effective_end_date") == want
+
+
+def test_unreadable_table_is_not_an_empty_one(spark, tmp_path):
+    (tmp_path / "fact" / "tv_batch=0").mkdir(parents=True)
+    (tmp_path / "fact" / "tv_batch=0" / "part-0.parquet").write_text("damaged")
+    schema = spark.range(1).schema
+    assert flows.stored_before(spark, str(tmp_path / "none"), 1, schema) is None
+    with pytest.raises(Exception):
+        flows.stored_before(spark, str(tmp_path / "fact"), 1, schema).collect()
+
+
+def test_unknown_file_type_and_missing_code_stop(spark):
+    b = spark.createDataFrame([("OrderEvnts",)], "t string").withColumn("d", F.lit("2024-01-02").cast("date"))
+    with pytest.raises(Exception, match="no submission deadline"):
+        b.select(submission.deadline("d", "t")).collect()
+    rows_ = spark.createDataFrame([(None, 1)], "cat_event_code string, price int")
+    field = submission.FieldMapping(file_type="OrderEvents", column="price", field="px", required=False, event_codes=())
+    with pytest.raises(Exception, match="row without cat_event_code"):
+        submission.shape_submission(rows_, [field], "OrderEvents").collect()
+
+
+def test_one_satellite_row_per_load_time(spark):
+    t = dt.datetime(2024, 1, 1)
+    stage = spark.createDataFrame([("h", t, 1, "x"), ("h", t, 2, "y"), ("h", dt.datetime(2024, 1, 2), 1, "y")], "hk string, load_date timestamp, seq int, v string")
+    first = vault.load_sat(stage, "hk", ["v"], tie=["seq"], source="FEED")
+    assert rows(first, "load_date", "v", "record_source") == [(t, "y", "FEED")]
+    late = spark.createDataFrame([("h", t, 9, "z")], "hk string, load_date timestamp, seq int, v string")
+    assert vault.load_sat(late, "hk", ["v"], tie=["seq"], existing=first).count() == 0  # the stored row of that load time stays
+
+
+def test_currency_countries_come_from_the_country_list(spark):
+    raw = spark.createDataFrame([("usd", "US Dollar", "840", "2", "united states"), ("USD", "US Dollar", "840", "2", "Ecuador"), ("xau", "Gold", "959", "N.A.", "ZZ08")], refdata.CURRENCY_XML)
+    countries = spark.createDataFrame([("United States", "US"), ("Ecuador", "EC")], "country_name string, country_code string")
+    assert rows(refdata.curate(raw, "ref_currency", countries=countries), "currency_code", "country_code", "minor_unit") == [("USD", "EC", 2), ("XAU", None, None)]
+    cfi = spark.createDataFrame([("esxxxx", "Shares", None, None, None, None, None, None)], "cfi_code string, name string, description string, subcategory string, attr_1 string, attr_2 string, attr_3 string, attr_4 string")
+    assert rows(refdata.curate(cfi, "ref_cfi_category"), "cfi_code", "category") == [("ESXXXX", "E")]
+
+
+def test_calendar_misses_stop(spark):
+    df = spark.createDataFrame([(D(1999, 1, 4),)], "d date")
+    with pytest.raises(Exception, match="calendar does not reach"):
+        dims.add_business_days(df, "d", 3, dims.dim_date(spark), "due").collect()

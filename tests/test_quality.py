@@ -53,6 +53,23 @@ def test_ownership_diamond_cycle_and_depth(spark):
     assert not any(p in ("x", "y", "z") for p, *_ in got)  # a pure cycle has no ultimate owner
 
 
+@pytest.mark.parametrize("depth", [15, 40])
+def test_long_lines_are_walked_to_their_end(spark, depth):
+    edges = spark.createDataFrame([(f"n{i + 1}", f"n{i}", 1.0) for i in range(depth)] + [("a", "b", 1.0), ("b", "a", 1.0)], "owner string, owned string, pct double")
+    chains = hierarchy.ownership_chains(edges)
+    assert rows(chains, "party", "ultimate_owner", "chain_depth") == sorted([(f"n{i}", f"n{depth}", depth - i) for i in range(depth)], key=repr)
+    assert rows(hierarchy.unresolved_parties(edges, chains), "party") == [("a",), ("b",)]
+    assert hierarchy.ownership_totals(chains).count() == depth
+    tree = spark.createDataFrame([("n0", None)] + [(f"n{i + 1}", f"n{i}") for i in range(depth - 1)], "id string, up string")
+    assert hierarchy.hierarchy_paths(tree, "id", "up").agg({"depth": "max"}).first()[0] == depth
+
+
+def test_bands_above_fifty_legs(spark):
+    head = spark.createDataFrame([(n,) for n in (50, 55, 80, 101, 500)], "leg_count int")
+    bands = spark.createDataFrame([("WIDE", 60, 100, True), ("ALL", 4, 100, True), ("OPEN", 101, None, True), ("OLD", 1, 999, False)], "multileg_strategy_bk string, leg_count_min int, leg_count_max int, is_current boolean")
+    assert rows(facts.match_strategy(head, bands), "leg_count", "multileg_strategy_bk") == sorted([(50, "ALL"), (55, "ALL"), (80, "WIDE"), (80, "ALL"), (101, "OPEN"), (500, "OPEN")], key=repr)
+
+
 def test_hierarchy_paths(spark):
     n = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("lost", "nobody")], "id string, up string")
     assert rows(hierarchy.hierarchy_paths(n, "id", "up"), "id", "path") == [("a", "a"), ("b", "a/b"), ("c", "a/b/c")]
@@ -82,10 +99,10 @@ def test_event_codes_are_disjoint_and_known(spark):
 
 
 def test_reconcile_classes(spark):
-    i = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int")
-    e = spark.createDataFrame([("a", 1), ("b", 5), ("d", 4)], "k string, v int")
+    i = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 7)], "k string, v int")
+    e = spark.createDataFrame([("a", 1), ("b", 5), ("d", 4), (None, 7)], "k string, v int")
     out = joins.reconcile(i, e, ["k"], "v")
-    assert rows(out, "k", "break_value", "reconciliation_status") == [("a", 0, "MATCHED"), ("b", 3, "BROKEN"), ("c", -3, "INTERNAL_ONLY"), ("d", 4, "EXTERNAL_ONLY")]
+    assert rows(out, "k", "break_value", "reconciliation_status") == [("a", 0, "MATCHED"), ("b", 3, "BROKEN"), ("c", -3, "INTERNAL_ONLY"), ("d", 4, "EXTERNAL_ONLY"), (None, 0, "MATCHED")]
 
 
 def test_derived_link_looks_both_ways(spark):
