@@ -18,11 +18,26 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let an Arrow batch hold at most four megabytes, unless the session asks for less.
+
+    By default a batch holds 64 MB; Spark keeps and reuses its Python workers, which then keep several times that.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name)
+    if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def added(df: DataFrame, name: str, fn: Callable, kind: str, *inputs: str) -> DataFrame:
     """``df`` with one more column made by an Arrow function; a column of that name is replaced.
 
     The function is marked non-deterministic so that Catalyst evaluates it once per row, not once per reference.
     """
+    bounded_batches(df.sparkSession)
     return df.withColumn(name, F.arrow_udf(fn, kind).asNondeterministic()(*[F.col(f"`{c}`") for c in inputs]))
 
 

@@ -23,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradevault.llm.columns import fresh, named
+from tradevault.llm.columns import bounded_batches, fresh, named
 from tradevault.llm.textscan import ALNUM, Words, blocks, covered, runs, window_starts, windows
 from tradevault.session import cut
 
@@ -146,6 +146,7 @@ def find(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, into: str = "co
     """``docs`` with one more column ``into`` of type HITS (a column of that name is replaced)."""
     grams = item_windows(benchmark, n).persist()
     spark = docs.sparkSession
+    bounded_batches(spark)
     try:
         size = grams.agg(F.count("*"), F.coalesce(F.sum(F.length("gram")), F.lit(0))).first()
         n_blocks = max(1, -(-size[0] // block_windows), -(-size[1] // block_chars))

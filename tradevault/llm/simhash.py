@@ -267,8 +267,16 @@ def dedup(docs: DataFrame, radius: int = RADIUS, size: int = SIZE) -> DataFrame:
     folded = stored(small.groupBy("fp").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "row")).alias("best")), "prints")
     root = components(links(folded.select("fp"), radius), "a", "b")
     placed = folded.join(root, folded["fp"] == root["node"], "left").select("best", F.coalesce("root", "fp").alias("root"))
-    keep = placed.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.doc").alias("keep_id"), F.col("best.row").alias("keep_row"))
+    keep = placed.groupBy("root").agg(F.min("best").alias("best")).select("best.doc", "best.row")
+    copies = small.groupBy("doc", "row").agg(F.count("*").alias("copies"))
+    same = keep["doc"].eqNullSafe(copies["doc"]) & (keep["row"] == copies["row"])
+    keep = stored(keep.join(copies, same).select(keep["doc"].alias("keep_id"), keep["row"].alias("keep_row"), "copies"), "keep")
     this = docs.withColumn(row, F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in columns]))
-    kept = this.join(keep, this["doc_id"].eqNullSafe(keep["keep_id"]) & (this[row] == keep["keep_row"]), "left_semi")
-    # Identical rows share id and hash: one of them stays.
-    return kept.dropDuplicates(["doc_id", row]).select(*[f"`{c}`" for c in columns])
+
+    def kept(some: str) -> DataFrame:
+        chosen = keep.where(some)
+        return this.join(chosen, this["doc_id"].eqNullSafe(chosen["keep_id"]) & (this[row] == chosen["keep_row"]), "left_semi")
+
+    # Rows that are alike in all columns share id and hash; of those, usually none, one stays.
+    out = kept("copies = 1").unionByName(kept("copies > 1").dropDuplicates(["doc_id", row]))
+    return out.select(*[f"`{c}`" for c in columns])

@@ -1,7 +1,7 @@
 """Flat numpy views of a column of texts: the words of a whole block of documents, their places and their hashes.
 
-Texts stay UTF-8 bytes as Arrow delivers them, so no Python string is built per word. A block holds some megabytes of text,
-or a single document if that is longer; nothing is cut.
+Texts stay UTF-8 bytes as Arrow delivers them, so no Python string is built per word. A block holds half a megabyte of text,
+or a single document if that is longer; nothing is cut. So arrays stay small, and workers that Spark reuses keep little memory.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 19
 BYTE_BASE, WORD_BASE, CHECK_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 
 #: ASCII letters and digits, and every byte of a non-ASCII character.
@@ -28,7 +28,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, kept per process and grown on demand."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
+        size = -(-n // 65536) * 65536
         pair = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, b, dtype=np.uint64)

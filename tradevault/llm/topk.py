@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tradevault.llm.columns import named
+from tradevault.llm.columns import bounded_batches, named
 
 K = 5
 SCALE = 256
@@ -164,6 +164,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE,
 
     A repeated query id with different vectors is searched once per vector and ranked together.
     """
+    bounded_batches(vectors.sparkSession)
     x = quantised(vectors, scale)
     queries = x.where(is_query).distinct()
     n = queries.count()

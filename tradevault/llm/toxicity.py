@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradevault.llm.columns import added, fresh, held_out, named, stored
+from tradevault.llm.columns import added, bounded_batches, fresh, held_out, named, stored
 from tradevault.llm.textscan import ALNUM, Words, blocks, mix, powers, BYTE_BASE
 
 BITS = 20
@@ -165,6 +165,7 @@ def steps(batches: Iterator[pa.RecordBatch], w0: float, w: np.ndarray, v: np.nda
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most: int = TERMS, least: float = LEAST) -> Model:
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows, total = labelled(docs, labels, per_class)
     slot = np.full(1 << BITS, -1, np.int32)
 
