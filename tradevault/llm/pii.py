@@ -31,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradevault.llm.columns import added, fresh, named, stored
+from tradevault.llm.columns import added, bounded_batches, fresh, named, stored
 from tradevault.session import cut
 
 KINDS = ("email", "ip", "card", "phone")
@@ -174,6 +174,7 @@ def document_counts(texts: DataFrame, terms: DataFrame, block: int) -> DataFrame
 def disclosing(docs: DataFrame, near: int = NEAR, support: int = SUPPORT, disclosure: float = DISCLOSURE, block: int = BLOCK_TERMS) -> DataFrame:
     """Distinct terms that disclose at least one entity."""
     texts = docs.select(named(docs, "text").alias("text"))
+    bounded_batches(docs.sparkSession)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pairs_of(batches, near)
@@ -181,14 +182,15 @@ def disclosing(docs: DataFrame, near: int = NEAR, support: int = SUPPORT, disclo
     seen = stored(texts.mapInArrow(pairs, "entity long, term string, context long"), "pii-pairs")
     # Two levels: contexts of a pair are folded before they are counted.
     each = seen.groupBy("entity", "term", "context").agg(F.count("*").alias("k")).groupBy("entity", "term").agg(F.sum("k").alias("n"), F.count("*").alias("contexts"))
-    entity = each.where("term IS NULL AND contexts >= 1").select("entity", F.col("n").alias("n_c"))
+    entity = each.where("term IS NULL").select("entity", F.col("n").alias("n_c"))
     both = stored(each.where(F.col("term").isNotNull() & (F.col("contexts") >= support)).join(entity, "entity"), "pii-candidates")
     of_term = document_counts(texts, both.select("term").distinct(), block)
     n_all = texts.count()
     pmi = F.log2(F.lit(float(n_all)) * F.col("n_ct") / (F.col("n_c") * F.col("n_t")))
     ic = F.log2(F.lit(float(n_all)) / F.col("n_c"))
     joined = both.select("term", F.col("n").alias("n_ct"), "n_c").join(of_term.select("term", F.col("n").alias("n_t")), "term")
-    return joined.where((F.col("n_t") > 0) & (ic > 0) & (pmi >= F.lit(disclosure) * ic)).select("term").distinct()
+    # Stored, because it is counted before it is broadcast and stands on two passes over the corpus.
+    return stored(joined.where((F.col("n_t") > 0) & (ic > 0) & (pmi >= F.lit(disclosure) * ic)).select("term").distinct(), "pii-terms")
 
 
 def with_spans(docs: DataFrame, terms: DataFrame, into: str, block: int = BLOCK_TERMS) -> DataFrame:
