@@ -34,18 +34,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradevault.llm.columns import fresh, named
+from tradevault.llm.columns import bounded_batches, fresh, named
 from tradevault.llm.textscan import CHECK_BASE, NONSPACE, Words, blocks, covered, mix, window_starts, windows
 
 WINDOW = 50
 #: Difference covers: every residue modulo the period is a difference of two members.
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
-TASK_BYTES = 16 << 20
+TASK_BYTES = 8 << 20
 
 #: Entries of one task block for one bucket, as packed arrays. ``place`` is -1 where no answer is asked for. Rows that are
 #: ``known`` are answers already, on their way to the document.
 ENTRY = "bucket int, known boolean, keys binary, checks binary, doc binary, row binary, high binary, place binary"
 PACKED = (("keys", np.uint64), ("checks", np.uint32), ("doc", np.int64), ("row", np.int64), ("high", np.int64), ("place", np.int32))
+#: Answers on their way to the documents of one part, and of one document row: packed (first, last) places.
+SENT = "part int, doc binary, row binary, place binary"
 ANSWER = "doc_id long, row long, places binary"
 
 
@@ -125,7 +127,7 @@ def answered(doc: np.ndarray, row: np.ndarray, place: np.ndarray) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array(doc[at], pa.int64()), pa.array(row[at], pa.int64()), pa.array(places, pa.binary())], ["doc_id", "row", "places"])
 
 
-def answer_bucket(table: pa.Table, anchors: bool) -> pa.Table:
+def answer_bucket(table: pa.Table, anchors: bool, n_parts: int) -> pa.Table:
     """Merge the entries of one bucket; answer those whose key is in two documents (anchors), or in a smaller one (windows)."""
     got: dict[str, list[np.ndarray]] = {name: [] for name, _ in PACKED}
     done: list[tuple[np.ndarray, ...]] = []
@@ -150,12 +152,22 @@ def answer_bucket(table: pa.Table, anchors: bool) -> pa.Table:
         yes = order[asks & ((low < high) if anchors else (low < doc))]
         done.append((e["doc"][yes], e["row"][yes], e["place"][yes]))
     doc, row, place = (np.concatenate(x) for x in zip(*done)) if done else (np.zeros(0, np.int64),) * 3
-    return pa.Table.from_batches([answered(doc, row, place)])
+    part = (mix(doc.astype(np.uint64)) % np.uint64(n_parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    edge = np.concatenate([np.flatnonzero(np.concatenate([[True], np.diff(part[order]) != 0])), [len(part)]]) if len(part) else np.zeros(1, np.int64)
+    cut = [[x[order[a:b]].tobytes() for a, b in zip(edge[:-1], edge[1:])] for x in (doc, row, place)]
+    return pa.table([pa.array(part[order][edge[:-1]], pa.int32()), *[pa.array(c, pa.binary()) for c in cut]], ["part", "doc", "row", "place"])
 
 
-def unpacked(parts: list[bytes]) -> np.ndarray:
+def gather_part(table: pa.Table) -> pa.Table:
+    """The answers to the documents of one part, one row per document row."""
+    cols = [np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()]) for name, kind in (("doc", np.int64), ("row", np.int64), ("place", np.int32))]
+    return pa.Table.from_batches([answered(*cols)])
+
+
+def unpacked(places: bytes) -> np.ndarray:
     """(first, last) runs of all places answered to one document row."""
-    return np.concatenate([np.frombuffer(p, np.int32).reshape(-1, 2) for p in parts]).astype(np.int64)
+    return np.frombuffer(places, np.int32).reshape(-1, 2).astype(np.int64)
 
 
 def anchors_of(window: int, n_buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -195,8 +207,8 @@ def windows_of(window: int, n_buckets: int) -> Callable[[Iterator[pa.RecordBatch
             for lo, hi, data, offs in blocks(batch.column(2)):
                 w = Words(data, offs, NONSPACE, lower=False)
                 edge = np.zeros(len(w) + 1, np.int64)
-                for k, parts in enumerate(batch.column(3).slice(lo, hi - lo).to_pylist()):
-                    span = unpacked(parts)
+                for k, places in enumerate(batch.column(3).slice(lo, hi - lo).to_pylist()):
+                    span = unpacked(places)
                     np.add.at(edge, w.first[k] + np.maximum(span[:, 0] - reach, 0), 1)
                     np.add.at(edge, w.first[k] + span[:, 1] + 1, -1)
                 near = np.cumsum(edge[:-1]) > 0
@@ -214,18 +226,19 @@ def windows_of(window: int, n_buckets: int) -> Callable[[Iterator[pa.RecordBatch
     return work
 
 
-def asked(entry: DataFrame, anchors: bool) -> DataFrame:
-    """The answers of all buckets, gathered per document row."""
+def asked(entry: DataFrame, anchors: bool, n_buckets: int) -> DataFrame:
+    """The answers of all buckets, gathered per document row. They travel packed, by parts of the documents."""
 
     def answer(table: pa.Table) -> pa.Table:
-        return answer_bucket(table, anchors)
+        return answer_bucket(table, anchors, n_buckets)
 
-    return entry.groupBy("bucket").applyInArrow(answer, ANSWER).groupBy("doc_id", "row").agg(F.collect_list("places").alias("places"))
+    return entry.groupBy("bucket").applyInArrow(answer, SENT).groupBy("part").applyInArrow(gather_part, ANSWER)
 
 
 def repeated(docs: DataFrame, window: int = WINDOW, n_buckets: int | None = None) -> tuple[DataFrame, str, str]:
     """``docs`` with a row hash and, where a smaller document has some of its windows, the packed places of those; and both names."""
-    n_buckets = n_buckets or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounded_batches(docs.sparkSession)
+    n_buckets = n_buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     row, places = fresh(docs, "row"), fresh(docs, "places")
     # One shuffle of the texts, used by both joins below.
     laid = docs.withColumn(row, F.xxhash64("text")).repartition("doc_id", row)
@@ -235,17 +248,17 @@ def repeated(docs: DataFrame, window: int = WINDOW, n_buckets: int | None = None
         got = answer.select(F.col("doc_id").alias("of_doc"), F.col("row").alias("of_row"), F.col("places").alias(places))
         return laid.join(got, (laid["doc_id"] == got["of_doc"]) & (laid[row] == got["of_row"]), "left").drop("of_doc", "of_row")
 
-    near = joined(asked(slim.mapInArrow(anchors_of(window, n_buckets), ENTRY), anchors=True))
+    near = joined(asked(slim.mapInArrow(anchors_of(window, n_buckets), ENTRY), True, n_buckets))
     near = near.select(F.col("doc_id").cast("long"), row, "text", places)
-    return joined(asked(near.mapInArrow(windows_of(window, n_buckets), ENTRY), anchors=False)), row, places
+    return joined(asked(near.mapInArrow(windows_of(window, n_buckets), ENTRY), False, n_buckets)), row, places
 
 
-def kept(text: str | None, parts: list[bytes] | None, window: int) -> tuple[int, int, list[bytes]]:
+def kept(text: str | None, places: bytes | None, window: int) -> tuple[int, int, list[bytes]]:
     """Number of words, of removed words, and the words that stay."""
     words = (text or "").encode().split()
-    if not parts:
+    if not places:
         return len(words), 0, words
-    span = unpacked(parts)
+    span = unpacked(places)
     mask = covered(len(words), span[:, 0], span[:, 1] - span[:, 0] + window)
     return len(words), int(mask.sum()), list(compress(words, (~mask).tolist()))
 
