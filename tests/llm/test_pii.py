@@ -75,6 +75,26 @@ def test_copies_prove_nothing(make):
     assert P.disclosing(docs).count() == 0
 
 
+def test_entities_seen_once_or_twice(make):
+    """A rare word anywhere in the document gives away an entity seen once; a word met elsewhere, or in one of two contexts only, does not."""
+    far = " ".join(["common words"] * 20)
+    said = [(0, f"Kowalczyk {far} mail one@corp.example {far}"), (1, f"zorblax {far} alpha two@corp.example"), (2, f"zorblax {far} beta two@corp.example"), (3, f"other {far} three@corp.example"), (4, "other zorblaxes")]
+    docs = make(*said, *[(i, f"common words {'mail alpha beta' if i < 40 else ''}") for i in range(5, 5000)])
+    assert {r[0] for r in P.disclosing(docs).collect()} == {"kowalczyk", "zorblax"}
+    out = {r["doc_id"]: r["text"] for r in P.sanitise(docs).collect()}
+    assert out[0] == f"<term> {far} mail <email> {far}" and out[2] == f"<term> {far} beta <email>" and out[4] == said[4][1]
+
+
+def test_all_contexts_of_a_document_count():
+    import pyarrow as pa
+
+    text = "left zorblax x@corp.example right one two three four x@corp.example five"
+    batch = pa.RecordBatch.from_arrays([pa.array([text])], ["text"])
+    rows = [tuple(r.values()) for b in P.pairs_of(iter([batch]), 2) for r in b.to_pylist()]
+    of_term = [(mark, k) for _, t, mark, k in rows if t == "zorblax"]
+    assert len({m for m, _ in of_term}) == 2 and sum(k for _, k in of_term) == 1
+
+
 def test_sanitise(make):
     docs = clashing(make((1, "é write a.b@c.de or +1 (459) 555-7415!"), (2, "nothing here\n x"), (3, None)))
     out = P.sanitise(docs)

@@ -3,17 +3,24 @@
 Base: e-mail addresses, IPv4 addresses, card numbers (13 to 19 digits, Luhn) and phone numbers (9 to 15 digits), leftmost and
 non-overlapping per kind; a match that fails its test is dropped without a retry. The scan is linear in the text.
 
-Information-theoretic part: every distinct base value is a protected entity c. Terms t are words of at least three letters within
-``near`` words of an occurrence of c. Over all N documents, with documents as the unit,
+Information-theoretic part: every distinct base value is a protected entity c. Terms t are words of at least three letters anywhere in
+a document that holds c, outside base spans. Over all N documents, with documents as the unit,
 
-    IC(c) = log2(N / n(c))        PMI(c; t) = log2(N n(c, t) / (n(c) n(t)))
+    IC(c) = log2(N / n(c))        PMI(c; t) = log2(N p(c | t) / n(c))
 
-and t discloses c if PMI(c; t) >= ``disclosure`` * IC(c), that is if p(c | t) is close to 1, with at least ``support`` different contexts
-(surrounding words) of c that hold t, so that copies of one passage prove nothing. n(c, t) counts documents. Every occurrence of a
-disclosing term becomes a span of kind ``term``, except inside base spans. Base spans always stay.
+and t discloses c if PMI(c; t) >= ``disclosure`` * IC(c), that is if p(c | t) is close to 1. n(c, t) counts documents. The evidence is the
+number d of different contexts (the ``near`` words either side of c) of c in documents that hold t, so that copies of one passage are one
+observation, and p(c | t) is n(c, t) / n(t) with d observations in which t meets c and ``SMOOTH`` more in which it does not:
 
-Counts run over all documents. Candidate and disclosing terms are broadcast in blocks of at most ``BLOCK_TERMS``; further blocks take
-further passes, so none is dropped and the broadcast has a fixed bound. Entities travel as 64-bit hashes.
+    p(c | t) = d / (d n(t) / n(c, t) + SMOOTH)
+
+t needs ``support`` contexts, or all contexts of c if c has fewer: entities seen once or twice are judged by p alone. A term seen in one
+context of one document reaches 2/3, which suffices from about 3,300 documents on. Every occurrence of a disclosing term becomes a span of
+kind ``term``, except inside base spans. Base spans always stay.
+
+Counts run over all documents. A document gives one pair for each of its entities, contexts and words. Disclosing terms are broadcast in
+blocks of at most ``BLOCK_TERMS``; further blocks take further passes, so none is dropped and the broadcast has a fixed bound. Entities
+travel as 64-bit hashes.
 
 Spans are code points, end exclusive. NULL and empty texts have no spans. Documents are counted by row, repeated rows too.
 """
@@ -38,7 +45,10 @@ KINDS = ("email", "ip", "card", "phone")
 NEAR = 5
 SUPPORT = 3
 DISCLOSURE = 0.95
+SMOOTH = 0.5
 BLOCK_TERMS = 500_000
+PAIR_ROWS = 100_000
+HELD_TERMS = 200_000
 
 #: Fixed values of the contract: the base patterns. The look-behinds and possessive quantifiers only skip starts that cannot match.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -108,10 +118,23 @@ def hash64(value: str) -> int:
     return xxhash.xxh64_intdigest(value.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def words_of(text: str) -> set[str]:
+    """The distinct terms of a text, lower-cased one by one, as their spans are."""
+    return {w.lower() for w in set(TERM.findall(text))}
+
+
 def pairs_of(batches: Iterator[pa.RecordBatch], near: int) -> Iterator[pa.RecordBatch]:
-    """Per document: the distinct (entity, term, context) around its base spans; and (entity, NULL, context) for the entity itself."""
+    """Per document: its distinct (entity, term, context), and (entity, NULL, context) for the entity itself.
+
+    ``k`` is 1 in one row of each (entity, term) of the document and 0 in its other contexts, so that its sum counts documents.
+    """
+    rows: list[tuple] = []
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        c, t, mark, k = zip(*rows) if rows else ((), (), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(t, pa.string()), pa.array(mark, pa.int64()), pa.array(k, pa.int64())], ["entity", "term", "context", "k"])
+
     for batch in batches:
-        entity, term, context = [], [], []
         for text in batch.column(0).to_pylist():
             spans = base_spans(text)
             if not spans:
@@ -119,20 +142,19 @@ def pairs_of(batches: Iterator[pa.RecordBatch], near: int) -> Iterator[pa.Record
             taken = sorted((a, b) for _, a, b in spans)
             words = [m for m in TERM.finditer(text) if not overlaps(taken, m.start(), m.end())]
             starts = [m.start() for m in words]
-            found = {}
+            lower = [m[0].lower() for m in words]
+            marks: dict[int, dict[int, None]] = {}
             for _, a, b in spans:
-                c = hash64(text[a:b].lower())
                 i = bisect_left(starts, a)
-                around = [m[0].lower() for m in words[max(0, i - near) : i + near]]
-                mark = hash64(" ".join(around))
-                found[(c, None)] = mark
-                for t in around:
-                    found.setdefault((c, t), mark)
-            for (c, t), mark in found.items():
-                entity.append(c)
-                term.append(t)
-                context.append(mark)
-        yield pa.RecordBatch.from_arrays([pa.array(entity, pa.int64()), pa.array(term, pa.string()), pa.array(context, pa.int64())], ["entity", "term", "context"])
+                marks.setdefault(hash64(text[a:b].lower()), {})[hash64(" ".join(lower[max(0, i - near) : i + near]))] = None
+            terms = [None, *set(lower)]
+            for c, of_c in marks.items():
+                for k, mark in enumerate(of_c):
+                    rows += [(c, t, mark, int(k == 0)) for t in terms]
+                    if len(rows) >= PAIR_ROWS:
+                        yield batch_of(rows)
+                        rows = []
+    yield batch_of(rows)
 
 
 def overlaps(taken: list[tuple[int, int]], a: int, b: int) -> bool:
@@ -150,28 +172,28 @@ def in_blocks(terms: DataFrame, block: int) -> Iterator[set[str]]:
         yield {r["term"] for r in part.collect()}
 
 
-def document_counts(texts: DataFrame, terms: DataFrame, block: int) -> DataFrame:
-    """(term, n): in how many texts each of the terms occurs; partial counts per task, then one small shuffle."""
-    parts = None
-    for chosen in in_blocks(terms, block):
-        held = texts.sparkSession.sparkContext.broadcast(chosen)
+def document_counts(texts: DataFrame) -> DataFrame:
+    """(term, n): in how many texts each term occurs; partial counts per task, then one shuffle."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str, int] = {}
+
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["term", "k"])
 
-        def count(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            total: dict[str, int] = {}
-            for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    for t in held.value.intersection(TERM.findall(text.lower())) if text else ():
-                        total[t] = total.get(t, 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["term", "k"])
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                for t in words_of(text) if text else ():
+                    total[t] = total.get(t, 0) + 1
+                if len(total) >= HELD_TERMS:
+                    yield flush()
+                    total = {}
+        yield flush()
 
-        got = texts.mapInArrow(count, "term string, k long")
-        parts = got if parts is None else parts.unionByName(got)
-    if parts is None:
-        return terms.select("term", F.lit(0).cast("long").alias("n"))
-    return parts.groupBy("term").agg(F.sum("k").alias("n"))
+    return texts.mapInArrow(count, "term string, k long").groupBy("term").agg(F.sum("k").alias("n"))
 
 
-def disclosing(docs: DataFrame, near: int = NEAR, support: int = SUPPORT, disclosure: float = DISCLOSURE, block: int = BLOCK_TERMS) -> DataFrame:
+def disclosing(docs: DataFrame, near: int = NEAR, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """Distinct terms that disclose at least one entity."""
     texts = docs.select(named(docs, "text").alias("text"))
     bounded_batches(docs.sparkSession)
@@ -179,18 +201,20 @@ def disclosing(docs: DataFrame, near: int = NEAR, support: int = SUPPORT, disclo
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pairs_of(batches, near)
 
-    seen = stored(texts.mapInArrow(pairs, "entity long, term string, context long"), "pii-pairs")
-    # Two levels: contexts of a pair are folded before they are counted.
-    each = seen.groupBy("entity", "term", "context").agg(F.count("*").alias("k")).groupBy("entity", "term").agg(F.sum("k").alias("n"), F.count("*").alias("contexts"))
-    entity = each.where("term IS NULL").select("entity", F.col("n").alias("n_c"))
-    both = stored(each.where(F.col("term").isNotNull() & (F.col("contexts") >= support)).join(entity, "entity"), "pii-candidates")
-    of_term = document_counts(texts, both.select("term").distinct(), block)
-    n_all = texts.count()
-    pmi = F.log2(F.lit(float(n_all)) * F.col("n_ct") / (F.col("n_c") * F.col("n_t")))
-    ic = F.log2(F.lit(float(n_all)) / F.col("n_c"))
-    joined = both.select("term", F.col("n").alias("n_ct"), "n_c").join(of_term.select("term", F.col("n").alias("n_t")), "term")
+    seen = stored(texts.mapInArrow(pairs, "entity long, term string, context long, k long"), "pii-pairs")
+    # Two levels: copies of a context are folded before contexts are counted.
+    each = seen.groupBy("entity", "term", "context").agg(F.sum("k").alias("k")).groupBy("entity", "term").agg(F.sum("k").alias("n_ct"), F.count("*").alias("d"))
+    entity = each.where("term IS NULL").select("entity", F.col("n_ct").alias("n_c"), F.least(F.col("d"), F.lit(support)).alias("floor"))
+    n_all = float(texts.count())
+    p = F.col("d") / (F.col("d") * F.col("n_t") / F.col("n_ct") + F.lit(SMOOTH))
+    told = each.where("term IS NOT NULL").join(document_counts(texts).withColumnRenamed("n", "n_t"), "term").withColumn("p", p)
+    # No entity is rarer than one document: what fails for that fails for all, and is left out before entities are joined.
+    told = told.where(F.col("p") >= F.lit(0.999 * max(n_all, 1.0) ** (min(disclosure, 1.0) - 1)))
+    ic = F.log2(F.lit(n_all) / F.col("n_c"))
+    pmi = F.log2(F.lit(n_all) * F.col("p") / F.col("n_c"))
+    joined = told.join(entity, "entity").where((F.col("d") >= F.col("floor")) & (ic > 0) & (pmi >= F.lit(disclosure) * ic))
     # Stored, because it is counted before it is broadcast and stands on two passes over the corpus.
-    return stored(joined.where((F.col("n_t") > 0) & (ic > 0) & (pmi >= F.lit(disclosure) * ic)).select("term").distinct(), "pii-terms")
+    return stored(joined.select("term").distinct(), "pii-terms")
 
 
 def with_spans(docs: DataFrame, terms: DataFrame, into: str, block: int = BLOCK_TERMS) -> DataFrame:
@@ -212,7 +236,7 @@ def term_adder(held: Broadcast) -> Callable[[pa.Array, pa.Array], pa.Array]:
     def more(texts: pa.Array, before: pa.Array) -> pa.Array:
         got = []
         for text, spans in zip(texts.to_pylist(), before.to_pylist()):
-            if text and not held.value.isdisjoint(TERM.findall(text.lower())):
+            if text and not held.value.isdisjoint(words_of(text)):
                 taken = sorted((s["a"], s["b"]) for s in spans if s["kind"] != "term")
                 new = [{"kind": "term", "a": m.start(), "b": m.end()} for m in TERM.finditer(text) if m[0].lower() in held.value and not overlaps(taken, *m.span())]
                 old = [s for s in spans if s["kind"] == "term"]
