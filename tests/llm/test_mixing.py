@@ -53,3 +53,22 @@ def test_odd_rows(odd, empty):
     assert all((r["topic"] is None) == (r["tokens"] == 0) for r in got)
     assert M.report(empty).count() == 0 and M.sample(empty).count() == 0
     assert M.report(odd.where("doc_id in (1, 2, 3)")).count() == 3
+
+
+def test_infeasible_and_clipped_targets_are_told(make):
+    """Each source has one language, so both targets cannot hold; and a small source cannot grow beyond its own words."""
+    words = " ".join(f"w{i}" for i in range(50))
+    docs = make(*[(i, words, "de" if i % 10 == 0 else "en", "small" if i % 10 == 0 else "large") for i in range(100)])
+    with pytest.warns(M.UnmetTargets):
+        M.report(docs, {"source": {"small": 0.5, "large": 0.5}, "lang": {"en": 0.9, "de": 0.1}}).count()
+    got = {(r["dimension"], r["category"]): r for r in M.shortfall(docs, {"source": {"small": 0.5, "large": 0.5}, "lang": {"en": 0.5, "de": 0.5}}).collect()}
+    small = got["source", "small"]
+    assert abs(small["target"] - 0.5) < 1e-9 and abs(small["raked"] - 0.5) < 1e-6 and abs(small["expected"] - 0.2) < 1e-6
+
+
+@pytest.mark.parametrize("keep", [0.01, 0.4, 0.9, 0.999])
+def test_factor_is_the_same_at_every_size(spark, keep):
+    rnd = np.random.default_rng(6)
+    tokens, rate = rnd.integers(1, 100, 300), rnd.random(300) ** 4 * 30
+    cells = spark.createDataFrame(list(zip(tokens.tolist(), rate.tolist())), "tokens long, rate double")
+    assert abs(M.factor_spark(cells, keep) / M.factor_local(tokens.astype(float), rate, keep) - 1) < 1e-12

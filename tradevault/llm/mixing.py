@@ -1,9 +1,12 @@
 """Mixing sources to target weights by iterative proportional fitting (raking).
 
 Documents fall into cells (source, lang, topic); a cell's weight is its number of words. The weights are scaled in turn so that the
-sums per source, per language and per topic meet their targets, until all do. A document's rate is its cell's raked share over
-its cell's share of the words; documents are kept with probability min(1, factor * rate), where the factor makes the expected words
-kept ``keep`` of all. The draw is a hash of doc_id and text, so it is the same on every run and retry.
+sums per source, per language and per topic meet their targets, until all do or ``SWEEPS`` have run: targets that empty cells make
+infeasible (each source in one language, say) are never all met. A document's rate is its cell's raked share over its cell's share
+of the words; documents are kept with probability min(1, factor * rate), where the factor makes the expected words kept ``keep`` of
+all, so that a category whose documents are all kept stays under its target. ``shortfall`` lists the target, raked and expected
+share of each category, and a warning gives the largest gap that raking and clipping leave wherever documents are sampled. The
+draw is a hash of doc_id and text, so it is the same on every run and retry.
 
 The topic is the group of hashed words that is most over-represented in a document, compared with all documents (``TOPICS`` groups;
 ties go to the smaller group). Targets are the observed shares to the power ``temper``, which lifts small categories, unless
@@ -20,6 +23,7 @@ doc_id and text are kept or dropped together. Without any words every rate is 1.
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +46,10 @@ PROFILE = "struct<tokens:bigint,groups:array<bigint>>"
 Targets = dict[str, dict]
 
 
+class UnmetTargets(UserWarning):
+    """Targets that raking or the sample does not meet."""
+
+
 def profile(texts: pa.Array) -> pa.Array:
     """Words of each text, in all and per hashed group."""
     counts = []
@@ -162,21 +170,69 @@ def factor_local(tokens: np.ndarray, rate: np.ndarray, keep: float) -> float:
 
 
 def factor_spark(cells: DataFrame, keep: float) -> float:
-    """The same by three passes over 64 factors each."""
-    total, possible, least = cells.agg(F.sum("tokens"), F.sum(F.when(F.col("rate") > 0, F.col("tokens"))), F.min(F.when((F.col("rate") > 0) & (F.col("tokens") > 0), F.col("rate")))).first()
+    """The same as Spark jobs: the words kept are concave and piecewise linear in the factor, so tangents reach it from below in finitely many steps."""
+    ok = (F.col("rate") > 0) & (F.col("tokens") > 0)
+    total, possible, linear = cells.agg(F.sum("tokens"), F.sum(F.when(ok, F.col("tokens"))), F.sum(F.when(ok, F.col("tokens") * F.col("rate")))).first()
     if not possible or possible <= keep * total:
         return math.inf
-    low, high = 0.0, 1 / least
-    for _ in range(3):
-        tries = [low + (high - low) * (i / 64) ** 2 for i in range(65)]
-        got = cells.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), F.lit(x) * F.col("rate"))) for x in tries]).first()
-        above = next((i for i, x in enumerate(got) if x >= keep * total), 64)
-        low, high = tries[max(0, above - 1)], tries[above]
-    return (low + high) / 2
+    wanted, full, factor = keep * total, 0, 0.0
+    while True:
+        # With the cells that the last factor fills at probability 1, the others share what is wanted beyond them.
+        factor = max(factor, (wanted - full) / linear)
+        filled = F.lit(factor) * F.col("rate") >= 1
+        now, rest = cells.where(ok).agg(F.coalesce(F.sum(F.when(filled, F.col("tokens"))), F.lit(0)), F.sum(F.when(~filled, F.col("tokens") * F.col("rate")))).first()
+        if now == full or not rest:
+            return factor
+        full, linear = now, rest
+
+
+def expected(cells: DataFrame, factor: float) -> DataFrame:
+    """``cells`` (tokens, rate) with the raked words ``raked`` and the words ``kept`` that are expected after clipping."""
+    chance = F.when(F.col("rate") > 0, F.lit(1.0)).otherwise(0.0) if math.isinf(factor) else F.least(F.lit(1.0), F.lit(factor) * F.col("rate"))
+    return cells.withColumn("raked", F.col("tokens") * F.col("rate")).withColumn("kept", F.col("tokens") * chance)
+
+
+def category_shares(cells: DataFrame, factor: float, targets: Targets | None, temper: float) -> DataFrame:
+    """(dimension, category, target, raked, expected) shares of each category of ``cells`` (source, lang, topic, tokens, rate)."""
+    each = expected(cells, factor)
+    out = None
+    for name in DIMENSIONS:
+        given = (targets or {}).get(name)
+        by = each.groupBy(name).agg(*[F.sum(c).alias(c) for c in ("tokens", "raked", "kept")])
+        if given is None:
+            by = by.withColumn("raw", F.when(F.col("tokens") > 0, F.pow(F.col("tokens").cast("double"), F.lit(temper))).otherwise(0.0))
+        else:
+            listed = cells.sparkSession.createDataFrame([(c, float(x)) for c, x in given.items()], f"of {cells.schema[name].dataType.simpleString()}, raw double")
+            by = by.join(F.broadcast(listed), F.col(name).eqNullSafe(F.col("of")), "left").withColumn("raw", F.when(F.col("tokens") > 0, F.coalesce("raw", F.lit(0.0))).otherwise(0.0)).drop("of")
+        sums = by.agg(*[F.sum(c).alias(f"all_{c}") for c in ("raw", "raked", "kept")])
+        part = [F.try_divide(F.col(c), F.col(f"all_{c}")).alias(n) for c, n in (("raw", "target"), ("raked", "raked"), ("kept", "expected"))]
+        got = by.crossJoin(F.broadcast(sums)).select(F.lit(name).alias("dimension"), F.col(name).cast("string").alias("category"), *part)
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+def shortfall(docs: DataFrame, targets: Targets | None = None, temper: float = TEMPER, keep: float = KEEP, local_cells: int = LOCAL_CELLS) -> DataFrame:
+    """Per category its target share, the share that raking reached, and the share expected in the sample."""
+    rows, _ = profiled(docs)
+    cells, factor = rates(rows, targets, temper, keep, local_cells)
+    if "tokens" not in cells.columns:
+        raise ValueError("no words")
+    return category_shares(cells, factor, targets, temper)
+
+
+def warned(cells: DataFrame, factor: float, targets: Targets | None, temper: float) -> None:
+    """Warn of the largest gaps between targets and what raking and the sample reach, if they exceed the tolerance."""
+    if "tokens" not in cells.columns:
+        return
+    gap = lambda c: F.max(F.abs(F.col(c) - F.col("target")))
+    raked, sampled = category_shares(cells, factor, targets, temper).agg(gap("raked"), gap("expected")).first()
+    # A sweep meets its last dimension only after the gaps were taken, hence ten times the tolerance.
+    if max(raked or 0.0, sampled or 0.0) > 10 * TOLERANCE:
+        warnings.warn(f"targets are missed by up to {raked:.2g} of the words after raking and {sampled:.2g} in the sample; see mixing.shortfall", UnmetTargets, stacklevel=3)
 
 
 def rates(rows: DataFrame, targets: Targets | None = None, temper: float = TEMPER, keep: float = KEEP, local_cells: int = LOCAL_CELLS) -> tuple[DataFrame, float]:
-    """(source, lang, topic, rate) of all cells of ``rows`` (with ``tokens``) that have words, and the factor."""
+    """(source, lang, topic, tokens, rate) of all cells of ``rows`` (with ``tokens``) that have words, and the factor; no tokens column without words."""
     cells = stored(rows.where("tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
     kind = ", ".join(f"{name} {cells.schema[name].dataType.simpleString()}" for name in DIMENSIONS)
     n = cells.count()
@@ -186,12 +242,12 @@ def rates(rows: DataFrame, targets: Targets | None = None, temper: float = TEMPE
         got = sorted((tuple(r) for r in cells.select(*DIMENSIONS, "tokens").collect()), key=repr)
         tokens = np.array([c[3] for c in got], float)
         rate = rake_local(got, targets, temper)[0] * tokens.sum() / tokens
-        made = [(*c[:3], float(x)) for c, x in zip(got, rate)]
-        return cells.sparkSession.createDataFrame(made, f"{kind}, rate double"), factor_local(tokens, rate, keep)
+        made = [(*c, float(x)) for c, x in zip(got, rate)]
+        return cells.sparkSession.createDataFrame(made, f"{kind}, tokens long, rate double"), factor_local(tokens, rate, keep)
     raked = rake_spark(cells, targets, temper)
     whole = raked.agg(F.sum("tokens"), F.sum("weight")).first()
     raked = cut(raked.withColumn("rate", F.col("weight") / whole[1] / (F.col("tokens") / float(whole[0]))))
-    return raked.select(*DIMENSIONS, "rate"), factor_spark(raked, keep)
+    return raked.select(*DIMENSIONS, "tokens", "rate"), factor_spark(raked, keep)
 
 
 def probability(rows: DataFrame, keys: list[str], cells: DataFrame, factor: float, into: str) -> DataFrame:
@@ -222,6 +278,7 @@ def report(docs: DataFrame, targets: Targets | None = None, temper: float = TEMP
     """Per document its cell, words, probability and whether it is kept."""
     rows, _ = profiled(docs)
     cells, factor = rates(rows, targets, temper, keep, local_cells)
+    warned(cells, factor, targets, temper)
     out = probability(rows, list(DIMENSIONS), cells, factor, "probability")
     return out.select("doc_id", "source", "lang", "topic", "tokens", "probability", (draw("doc_id", "text_hash") < F.col("probability")).alias("kept"))
 
@@ -230,6 +287,7 @@ def sample(docs: DataFrame, targets: Targets | None = None, temper: float = TEMP
     """The documents kept, with the same columns. Texts are never shuffled: the cell is computed again beside the text."""
     rows, total = profiled(docs)
     cells, factor = rates(rows, targets, temper, keep, local_cells)
+    warned(cells, factor, targets, temper)
     made, topic, text_hash, chance = (fresh(docs, c) for c in ("profile", "topic_of", "text_hash", "chance"))
     marked = added(docs, made, profile, PROFILE, "text").withColumn(text_hash, F.xxhash64("text")).withColumn(topic, topic_of(F.col(f"{made}.groups"), total))
     out = probability(marked, ["source", "lang", topic], cells, factor, chance)
