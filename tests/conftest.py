@@ -17,7 +17,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf():
     return "/root/testdata/sf0.001"
-
-
-def rows(df, *cols):
-    return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)

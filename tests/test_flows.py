@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from rows_helper import rows
 from tradevault.functions import daycount
 from tradevault.operators import scd2, vault
 from tradevault.plans import accounts, dims, refdata, submission, vault_load, views

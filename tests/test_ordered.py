@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from rows_helper import rows
 from tradevault.operators.joins import expand_left
 from tradevault.functions.ordered import large_keys, share_of, with_ordered
 

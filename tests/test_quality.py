@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from rows_helper import rows
 from tradevault.operators import hierarchy, joins, quality
 from tradevault.plans import derived, dims, facts, rules, states
 

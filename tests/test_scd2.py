@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from rows_helper import rows
 from tradevault.functions.hashing import hash_key, row_hash
 from tradevault.operators import quality, scd2, vault
 
