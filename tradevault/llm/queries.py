@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, with their production parameters, and SQL twins where SQL can say it."""
+"""The operators as queries over whole tables, with their production parameters, and SQL twins where SQL can say it."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradevault.llm import chat, decontamination, language, mixing, pii, simhash, substring, tokens, topk, toxicity
+from tradevault.llm import alignment, chat, decontamination, language, mixing, pii, simhash, substring, tokens, topk, toxicity
 from tradevault.llm.columns import table
 
 
@@ -51,9 +51,13 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(table(spark, sf_dir, "documents"), tokens.vocabulary("byte_bpe_50k.json"), tokens.vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op2_language, op3_token_counts, op4_mixing, op5_toxicity, op6_pii, op7_substring, op8_chat, op9_simhash, op10_topk)
+    for f in (op1_decontamination, op2_language, op3_token_counts, op4_mixing, op5_toxicity, op6_pii, op7_substring, op8_chat, op9_simhash, op10_topk, op11_alignment)
 }
 
 OP1_SQL = r"""
