@@ -10,7 +10,7 @@ from test_pii import brute as private
 from test_simhash import brute_groups, brute_print
 from tradevault.llm import toxicity
 
-NAMES = ["op1_decontamination", "op2_language", "op3_token_counts", "op4_mixing", "op5_toxicity", "op6_pii", "op7_substring", "op8_chat", "op9_simhash", "op10_topk", "pipeline"]
+NAMES = ["op1_decontamination", "op2_language", "op3_token_counts", "op4_mixing", "op5_toxicity", "op6_pii", "op7_substring", "op8_chat", "op9_simhash", "op10_topk", "op11_alignment", "op12_spelling", "op13_winnowing", "pipeline"]
 
 
 def test_registered():
@@ -23,7 +23,7 @@ def test_query_equals_its_sql(spark, sf, name):
     assert problem is None and n > 0
 
 
-@pytest.mark.parametrize("name", ["op2_language", "op3_token_counts", "op4_mixing", "op5_toxicity", "op6_pii", "op9_simhash"])
+@pytest.mark.parametrize("name", ["op2_language", "op3_token_counts", "op4_mixing", "op5_toxicity", "op6_pii", "op9_simhash", "op11_alignment", "op13_winnowing"])
 def test_query_returns_every_document(spark, sf, name, documents):
     assert entry.queries()[name](spark, sf).count() == documents.count()
 

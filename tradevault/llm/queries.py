@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradevault.llm import alignment, chat, decontamination, language, mixing, pii, simhash, substring, tokens, topk, toxicity
+from tradevault.llm import alignment, chat, decontamination, language, mixing, pii, simhash, spelling, substring, tokens, topk, toxicity, winnowing
 from tradevault.llm.columns import table
 
 
@@ -55,9 +55,20 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.report(table(spark, sf_dir, "documents"), tokens.vocabulary("byte_bpe_50k.json"), tokens.vocabulary("piece_bpe_32k.model"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(table(spark, sf_dir, "documents"))
+
+
+def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op2_language, op3_token_counts, op4_mixing, op5_toxicity, op6_pii, op7_substring, op8_chat, op9_simhash, op10_topk, op11_alignment)
+    for f in (
+        op1_decontamination, op2_language, op3_token_counts, op4_mixing, op5_toxicity, op6_pii, op7_substring, op8_chat, op9_simhash, op10_topk,
+        op11_alignment, op12_spelling, op13_winnowing,
+    )
 }
 
 OP1_SQL = r"""
