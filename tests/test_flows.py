@@ -79,6 +79,13 @@ def test_year_fractions(spark, code, a, b, want):
     assert df.select(daycount.year_fraction("a", "b", code)).first()[0] == pytest.approx(want)
 
 
+@pytest.mark.parametrize("code", ["ACT_360", "ACT_365_25", "30_360", "30U_360", "30E_360_ISDA", "ACT_ACT_ISDA", "ACT_ACT_ICMA", "ACT_365_L", "ACT_ACT_AFB", "NL_365", "SIMPLE"])
+def test_a_period_backwards_is_minus_the_period(spark, code):
+    df = spark.createDataFrame([(D(2023, 1, 31), D(2024, 2, 29)), (D(2024, 3, 1), D(2024, 3, 1)), (D(2024, 1, 1), None)], "a date, b date")
+    got = [tuple(r) for r in df.select(daycount.year_fraction("a", "b", code), daycount.year_fraction("b", "a", code)).collect()]
+    assert got[0][0] > 0 and got[0][1] == -got[0][0] and got[1][0] == got[1][1] == 0 and got[2] == (None, None)
+
+
 # ---- submission
 
 EV = "cat_event_code string, id string, qty decimal(10,2), note string, ts timestamp"
@@ -177,10 +184,10 @@ def test_change_stream_equals_batch_in_any_batch_order(spark):
         for n, part in enumerate([data[0:20], data[20:40], data[40:60]][::step]):
             spark.createDataFrame(part, C).coalesce(1).write.parquet(f"{base}/in/p{n}")
         stream = spark.readStream.schema(C).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/p*")
-        dim = flows.KeyedTable(spark, f"{base}/dim", ["k"], 4)
-        flows.scd2_stream(stream, ["k"], ["v"], dim, f"{base}/log", f"{base}/cp")
+        dim, log = flows.type2_tables(spark, base, ["k"], 4)
+        flows.scd2_stream(stream, ["k"], ["v"], dim, log, f"{base}/cp")
         assert rows(dim.read(), *cols) == want
-        flows.scd2_stream(stream, ["k"], ["v"], dim, f"{base}/log", f"{base}/cp")  # nothing new: nothing changes
+        flows.scd2_stream(stream, ["k"], ["v"], dim, log, f"{base}/cp")  # nothing new: nothing changes
         assert rows(dim.read(), *cols) == want
 
 
@@ -200,14 +207,14 @@ def test_a_batch_of_deletes_only(spark):
     C = "k string, change_date date, seq long, v string, op string"
     base = work_dir(spark, "del")
     batches = [[("a", D(2024, 1, 1), 1, "x", "DELETE")], [("a", D(2024, 1, 3), 2, "y", "UPSERT"), ("b", D(2024, 1, 3), 3, "z", "UPSERT")], [("a", D(2024, 1, 5), 4, "y", "DELETE")]]
-    dim = flows.KeyedTable(spark, f"{base}/dim", ["k"], 4)
+    dim, log = flows.type2_tables(spark, base, ["k"], 4)
     for n, part in enumerate(batches):
         spark.createDataFrame(part, C).coalesce(1).write.parquet(f"{base}/in/p{n}")
         stream = spark.readStream.schema(C).parquet(f"{base}/in/p*")
-        flows.scd2_stream(stream, ["k"], ["v"], dim, f"{base}/log", f"{base}/cp")
+        flows.scd2_stream(stream, ["k"], ["v"], dim, log, f"{base}/cp")
     want = rows(scd2.scd2_build(spark.createDataFrame(sum(batches, []), C), ["k"], "change_date", ["seq"], ["v"], op_col="op"), "k", "v", "effective_end_date")
     assert rows(dim.read(), "k", "v", "effective_end_date") == want
-    dim.drop_unused()
+    dim.vacuum()
     assert rows(dim.read(), "k", "v", "effective_end_date") == want
 
 

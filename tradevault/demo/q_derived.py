@@ -8,6 +8,7 @@ from tradevault.functions import daycount
 from tradevault.functions.hashing import hash_key
 from tradevault.operators import hierarchy, joins, quality
 from tradevault.plans import bridges, derived, dims, risk
+from tradevault.sources import seeds
 
 DBL = "CAST({0} AS DOUBLE)"
 
@@ -140,11 +141,10 @@ def a11(spark, d):
 
 
 @query("A11_uncovered_codes", s.with_stage("order_events", """
-SELECT t.cat_event_code FROM (VALUES ('MENO'), ('MECO'), ('MEOR'), ('MEOT'), ('MEOC'), ('MEPA'), ('MENQ'), ('MEOF')) t(cat_event_code)
+SELECT t.cat_event_code FROM (VALUES """ + ", ".join(f"('{r[2]}')" for r in seeds.read_config("event_types")[1]) + """) t(cat_event_code)
 WHERE cat_event_code NOT IN (SELECT cat_event_code FROM order_events)"""))
 def a11b(spark, d):
-    wanted = dims.dim_event_type(spark).filter(F.col("cat_event_code").isin("MENO", "MECO", "MEOR", "MEOT", "MEOC", "MEPA", "MENQ", "MEOF"))
-    return derived.uncovered_codes(wanted, s.order_events(spark, d)).select("cat_event_code")
+    return derived.uncovered_codes(dims.dim_event_type(spark), s.order_events(spark, d)).select("cat_event_code")
 
 
 def exposure_trades(spark, d):
@@ -262,6 +262,33 @@ def j13(spark, d):
     return out.withColumn("path", F.array_join(F.col("path").cast("array<string>"), "/"))
 
 
+def cross_held_edges(spark, d):
+    """The ownership edges, and every tenth customer also holds a twentieth of its parent, whose other owners hold the rest."""
+    held = s.table(spark, d, "customer").filter("c_custkey % 10 = 4 AND c_custkey >= 3")
+    back = held.select(F.col("c_custkey").alias("owner"), F.floor(F.col("c_custkey") / 3).alias("owned"), F.lit(0.05).alias("pct"))
+    rest = ownership_edges(spark, d).join(back.select("owned", F.lit(0.95).alias("left")), "owned", "left")
+    return rest.select("owner", "owned", (F.col("pct") * F.coalesce("left", F.lit(1.0))).alias("pct")).unionByName(back)
+
+
+LEVELS = 48  # longer walks go to and fro over cross holdings and carry less than 1e-15
+J13_SQL = """
+WITH c AS (SELECT *, c_acctbal < 0 AND c_custkey // 5 <> c_custkey // 3 AS two FROM customer WHERE c_custkey > 0),
+back AS (SELECT c_custkey AS owner, c_custkey // 3 AS owned, 0.05::DOUBLE AS pct FROM customer WHERE c_custkey % 10 = 4 AND c_custkey >= 3),
+one AS (SELECT c_custkey // 3 AS owner, c_custkey AS owned, CASE WHEN two THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS pct FROM c
+  UNION ALL SELECT c_custkey // 5, c_custkey, 0.5::DOUBLE FROM c WHERE two),
+e AS (SELECT owner, owned, SUM(pct) AS pct FROM (SELECT owner, owned, pct * CASE WHEN owned IN (SELECT owned FROM back) THEN 0.95::DOUBLE ELSE 1 END AS pct FROM one UNION ALL SELECT * FROM back) GROUP BY 1, 2),
+x0 AS (SELECT DISTINCT owner AS party, owner AS top, 1.0::DOUBLE AS w FROM e WHERE owner NOT IN (SELECT owned FROM e)),
+""" + ",\n".join(f"x{k + 1} AS MATERIALIZED (SELECT owned AS party, top, SUM(w * pct) AS w FROM x{k} JOIN e ON owner = party GROUP BY 1, 2)" for k in range(LEVELS)) + """
+SELECT party, top AS ultimate_owner, round(SUM(w), 9) AS effective_pct, MIN(k) AS chain_depth FROM (
+""" + " UNION ALL ".join(f"SELECT *, {k} AS k FROM x{k}" for k in range(1, LEVELS + 1)) + ") GROUP BY 1, 2"
+
+
+@query("J13_effective_ownership", J13_SQL)
+def j13b(spark, d):
+    out = hierarchy.effective_ownership(cross_held_edges(spark, d))
+    return out.select("party", "ultimate_owner", F.round("effective_pct", 9).alias("effective_pct"), "chain_depth")
+
+
 @query("J14_hierarchy_path", """
 SELECT 'R' || r_regionkey AS node, 1 AS depth, 'R' || r_regionkey AS path FROM region
 UNION ALL SELECT 'N' || n_nationkey, 2, 'R' || n_regionkey || '/N' || n_nationkey FROM nation
@@ -650,16 +677,20 @@ def x11(spark, d):
 
 
 @query("F8_year_fractions", s.with_stage("lines_s orders_s", """
-WITH x AS (SELECT fill_id, order_date AS a, settle_date AS b FROM lines_s JOIN orders_s USING (order_id) WHERE settle_date >= order_date)
-SELECT fill_id, CAST(b - a AS DOUBLE) / 360 AS act_360, CAST(b - a AS DOUBLE) / 365 AS act_365_fixed,
-  ((year(b) - year(a)) * 360 + (month(b) - month(a)) * 30 + (CASE WHEN day(b) = 31 AND day(a) >= 30 THEN 30 ELSE day(b) END - least(day(a), 30)))::DOUBLE / 360 AS "30_360",
-  ((year(b) - year(a)) * 360 + (month(b) - month(a)) * 30 + (least(day(b), 30) - least(day(a), 30)))::DOUBLE / 360 AS "30e_360",
-  round((SELECT SUM(1.0::DOUBLE / CASE WHEN year(dd) % 4 = 0 AND (year(dd) % 100 <> 0 OR year(dd) % 400 = 0) THEN 366 ELSE 365 END) FROM (SELECT a + CAST(i AS INTEGER) AS dd FROM range(b - a) r(i))), 9) AS act_act_isda,
-  (CAST(b - a AS DOUBLE) - (SELECT COUNT(*) FROM (VALUES (DATE '1996-02-29'), (DATE '2000-02-29'), (DATE '2004-02-29')) f(z) WHERE z > a AND z <= b)) / 365 AS nl_365
-FROM x"""))
+WITH z AS (SELECT fill_id, order_date, settle_date, least(order_date, settle_date) AS a, greatest(order_date, settle_date) AS b, CASE WHEN settle_date < order_date THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END AS sg
+  FROM lines_s JOIN orders_s USING (order_id)),
+cal AS (SELECT CAST(range AS DATE) AS c FROM range(DATE '1994-01-01', DATE '2004-01-01', INTERVAL 1 DAY)),
+no AS (SELECT c, SUM(CASE WHEN dayofweek(c) BETWEEN 1 AND 5 THEN 1 ELSE 0 END) OVER (ORDER BY c) AS n FROM cal),
+yr AS (SELECT c, SUM(1.0::DOUBLE / CASE WHEN year(c) % 4 = 0 AND (year(c) % 100 <> 0 OR year(c) % 400 = 0) THEN 366 ELSE 365 END) OVER (ORDER BY c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS f,
+  COUNT(*) FILTER (month(c) = 2 AND day(c) = 29) OVER (ORDER BY c) AS feb29 FROM cal)
+SELECT fill_id, sg * CAST(b - a AS DOUBLE) / 360 AS act_360, sg * CAST(b - a AS DOUBLE) / 365 AS act_365_fixed,
+  sg * ((year(b) - year(a)) * 360 + (month(b) - month(a)) * 30 + (CASE WHEN day(b) = 31 AND day(a) >= 30 THEN 30 ELSE day(b) END - least(day(a), 30)))::DOUBLE / 360 AS "30_360",
+  sg * ((year(b) - year(a)) * 360 + (month(b) - month(a)) * 30 + (least(day(b), 30) - least(day(a), 30)))::DOUBLE / 360 AS "30e_360",
+  round(sg * (coalesce(yb.f, 0) - coalesce(ya.f, 0)), 9) + 0 AS act_act_isda, sg * (CAST(b - a AS DOUBLE) - (yb.feb29 - ya.feb29)) / 365 AS nl_365, CAST(nb.n - na.n AS DOUBLE) / 252 AS bus_252
+FROM z JOIN yr ya ON ya.c = a JOIN yr yb ON yb.c = b JOIN no na ON na.c = order_date JOIN no nb ON nb.c = settle_date"""))
 def f8(spark, d):
-    f = s.fills(spark, d).filter("settle_date >= order_date")
+    f = dims.business_days_between(s.fills(spark, d), "order_date", "settle_date", dims.dim_date(spark, "1994-01-01", "2003-12-31"), "days")
     names = {"ACT_360": "act_360", "ACT_365_FIXED": "act_365_fixed", "30_360": "30_360", "30E_360": "30e_360", "NL_365": "nl_365"}
     cols = [daycount.year_fraction("order_date", "settle_date", k).alias(v) for k, v in names.items()]
-    isda = F.coalesce(F.when(F.col("settle_date") > F.col("order_date"), F.round(daycount.year_fraction("order_date", "settle_date", "ACT_ACT_ISDA"), 9)))
-    return f.select("fill_id", *cols, isda.alias("act_act_isda"))
+    isda = F.round(daycount.year_fraction("order_date", "settle_date", "ACT_ACT_ISDA"), 9) + 0
+    return f.select("fill_id", *cols, isda.alias("act_act_isda"), daycount.year_fraction("order_date", "settle_date", "BUS_252", F.col("days")).alias("bus_252"))

@@ -12,7 +12,7 @@ from tradevault.operators import interval
 from tradevault.plans import accounts, dims, refdata, states, submission, views
 from tradevault.session import work_dir
 from tradevault.sources import files, tables
-from tradevault.streaming import flows
+from tradevault.streaming import flows, moves
 
 # ---- account data from customers and orders ------------------------------------------------------------------------------------
 
@@ -58,24 +58,24 @@ ROLES_SQL = """r AS (SELECT o_orderkey AS order_id, o_custkey AS fdid, sha256('7
 
 @query("C1_account_snapshot", f"""
 WITH {ROLES_SQL}, o AS (SELECT fdid, COUNT(*) AS n, bool_or(customer_role = 'TRDHOLDER') AS t FROM r WHERE role_end_date IS NULL GROUP BY 1), l AS (SELECT DISTINCT fdid FROM r WHERE st = 'O' AND order_id % 3 = 0)
-SELECT c_custkey AS firm_designated_id, coalesce(n, 0) AS customer_count, coalesce(t, false) AS has_active_trdholder, c_custkey IN (SELECT fdid FROM l) AS has_active_ltid, '2003-06-30' AS as_of_date
-FROM customer LEFT JOIN o ON fdid = c_custkey WHERE coalesce(t, false) OR c_acctbal < 0""")
+SELECT c_custkey AS firm_designated_id, coalesce(n, 0) AS customer_count, coalesce(t, false) AS has_active_trdholder, c_custkey IN (SELECT fdid FROM l) AS has_active_ltid, '2003-06-30' AS as_of_date,
+  CASE WHEN coalesce(t, false) OR c_acctbal < 0 THEN '' ELSE 'trdholder_required' END AS broken FROM customer LEFT JOIN o ON fdid = c_custkey""")
 def c1(spark, d):
     r = roles(spark, d)
     lt = r.filter("order_id % 3 = 0").select("cais_fdid_hk", F.when(F.col("st") != "O", F.col("role_start_date")).alias("ltid_end_date"))
-    out = accounts.account_snapshot(hub_fdid(spark, d), fdid_state(spark, d), r, lt, "2003-06-30", mode="drop")
-    return out.select("firm_designated_id", "customer_count", "has_active_trdholder", "has_active_ltid", "as_of_date")
+    out = accounts.account_snapshot(hub_fdid(spark, d), fdid_state(spark, d), r, lt, "2003-06-30", mode="warn")
+    return out.select("firm_designated_id", "customer_count", "has_active_trdholder", "has_active_ltid", "as_of_date", F.concat_ws(",", "broken_rules").alias("broken"))
 
 
 @query("C2_customer_snapshot", f"""
-WITH {ROLES_SQL} SELECT customer_record_id, COUNT(*) FILTER (role_end_date IS NULL) AS fdid_count, CASE WHEN fdid % 2 = 0 THEN 'NATURAL_PERSON' ELSE 'LEGAL_ENTITY' END AS customer_type, true AS has_pii_in_tid
-FROM r GROUP BY customer_record_id, fdid HAVING COUNT(*) FILTER (role_end_date IS NULL) >= 1""")
+WITH {ROLES_SQL} SELECT customer_record_id, COUNT(*) FILTER (role_end_date IS NULL) AS fdid_count, CASE WHEN fdid % 2 = 0 THEN 'NATURAL_PERSON' ELSE 'LEGAL_ENTITY' END AS customer_type, true AS has_pii_in_tid,
+  CASE WHEN COUNT(*) FILTER (role_end_date IS NULL) >= 1 THEN '' ELSE 'must_have_fdid' END AS broken FROM r GROUP BY customer_record_id, fdid""")
 def c2(spark, d):
     r = roles(spark, d)
     hub = r.select("cais_customer_hk", "customer_record_id", "fdid").distinct().withColumn("cat_reporter_crd", F.lit(7))
     state = hub.select("cais_customer_hk", F.when(F.col("fdid") % 2 == 0, "NATURAL_PERSON").otherwise("LEGAL_ENTITY").alias("customer_type"), F.lit(None).cast("timestamp").alias("load_end_dts"))
-    out = accounts.customer_snapshot(hub, state, r, "2003-06-30", mode="drop")
-    return out.select("customer_record_id", "fdid_count", "customer_type", "has_pii_in_tid")
+    out = accounts.customer_snapshot(hub, state, r, "2003-06-30", mode="warn")
+    return out.select("customer_record_id", "fdid_count", "customer_type", "has_pii_in_tid", F.concat_ws(",", "broken_rules").alias("broken"))
 
 
 def submission_files(spark, d):
@@ -109,12 +109,12 @@ def submission_link(spark, d):
 
 
 @query("C3_submission_registry", """
-WITH x AS (SELECT o_orderkey AS k, concat_ws('_', '900', o_orderkey % 50, strftime(o_orderdate, '%Y%m%d'), '0', o_orderkey) AS stem FROM orders WHERE o_orderkey % 50 > 0)
-SELECT stem || '.json.bz2' AS submission_filename, 'CAIS_DATA_FILE' AS file_type, CASE WHEN k % 2 = 0 THEN 'NEW' ELSE 'UPDATE' END AS submission_action, false AS accepted, 0 AS error_count FROM x
-UNION ALL SELECT stem || '_TID.json.bz2', 'TRANSFORMED_IDENTIFIERS_FILE', CASE WHEN k % 2 = 0 THEN 'NEW' ELSE 'UPDATE' END, false, 0 FROM x WHERE k % 29 <> 0""")
+WITH x AS (SELECT o_orderkey AS k, concat_ws('_', '900', o_orderkey % 50, strftime(o_orderdate, '%Y%m%d'), '0', o_orderkey) AS stem, CASE WHEN o_orderkey % 50 > 0 THEN '' ELSE 'non_null_reporter_crd' END AS broken FROM orders)
+SELECT stem || '.json.bz2' AS submission_filename, 'CAIS_DATA_FILE' AS file_type, CASE WHEN k % 2 = 0 THEN 'NEW' ELSE 'UPDATE' END AS submission_action, false AS accepted, 0 AS error_count, broken FROM x
+UNION ALL SELECT stem || '_TID.json.bz2', 'TRANSFORMED_IDENTIFIERS_FILE', CASE WHEN k % 2 = 0 THEN 'NEW' ELSE 'UPDATE' END, false, 0, broken FROM x WHERE k % 29 <> 0""")
 def c3(spark, d):
-    out = accounts.submission_registry(submission_link(spark, d), mode="drop")
-    return out.select("submission_filename", "file_type", "submission_action", "accepted", "error_count")
+    out = accounts.submission_registry(submission_link(spark, d), mode="warn")
+    return out.select("submission_filename", "file_type", "submission_action", "accepted", "error_count", F.concat_ws(",", "broken_rules").alias("broken"))
 
 
 def account_records(spark, d):
@@ -343,34 +343,42 @@ def x4(spark, d):
 
 
 @query("X5_feedback_match", """
-WITH f AS (SELECT 'S' || user_id AS fn, event_type FROM events WHERE event_type IN ('error', 'click', 'view'))
+WITH f AS (SELECT 'S' || user_id AS fn, event_type FROM events)
 SELECT 'S' || c_custkey AS submission_filename, COUNT(*) FILTER (event_type = 'error') AS error_count, COUNT(*) FILTER (event_type = 'click') AS rejection_count, COUNT(*) FILTER (event_type = 'view') AS inconsistency_count,
   COUNT(fn) > 0 AND COUNT(*) FILTER (event_type = 'click') = 0 AS accepted FROM customer LEFT JOIN f ON fn = 'S' || c_custkey GROUP BY c_custkey""")
 def x5(spark, d):
     name = lambda c: F.concat(F.lit("S"), F.col(c).cast("string")).alias("submission_filename")
-    fb = s.table(spark, d, "events").filter("event_type in ('error','click','view')").select(
+    fb = s.table(spark, d, "events").select(
         name("user_id"), s.choose("event_type", {"error": "ERROR", "click": "REJECTION", "view": "INCONSISTENCY"}).alias("feedback_type")
     )
     return submission.match_feedback(s.table(spark, d, "customer").select(name("c_custkey")), fb)
 
 
 def correction_events(spark, d):
+    """Every fourth event corrects another: chains of up to eight corrections, some of which close into a circle."""
     ev = s.table(spark, d, "events")
-    ref = F.when(F.col("event_id") % 4 == 3, F.col("event_id") - F.col("event_id") % 8)
+    k = F.col("event_id")
+    ref = F.when(k % 256 == 3, k + 56).when((k % 8 == 3) & (k % 64 > 3), k - 8).when(k % 4 == 3, k - k % 8)
     return ev.select("event_id", ref.alias("original_event_ref"), F.col("ts").cast("timestamp").alias("ts"), "value")
 
 
-CORR_SQL = "c AS (SELECT event_id, CASE WHEN event_id % 4 = 3 THEN event_id - event_id % 8 END AS original_event_ref, ts, value FROM events)"
+CORR_SQL = """c AS (SELECT event_id, CASE WHEN event_id % 256 = 3 THEN event_id + 56 WHEN event_id % 8 = 3 AND event_id % 64 > 3 THEN event_id - 8 WHEN event_id % 4 = 3 THEN event_id - event_id % 8 END AS original_event_ref, ts, value FROM events),
+walk AS (SELECT event_id, original_event_ref AS ref, 1 AS depth, event_id AS low FROM c WHERE original_event_ref IS NOT NULL
+  UNION ALL SELECT walk.event_id, c.original_event_ref, depth + 1, least(low, c.event_id) FROM walk JOIN c ON c.event_id = walk.ref WHERE c.original_event_ref IS NOT NULL AND depth < 20),
+ended AS (SELECT event_id, max_by(ref, depth) AS ref, max_by(low, depth) AS low, max(depth) AS depth FROM walk GROUP BY 1),
+root AS (SELECT event_id, depth = 20 AS cyclic, CASE WHEN depth = 20 THEN low ELSE ref END AS effective_id, CASE WHEN depth < 20 THEN depth END AS chain_depth FROM ended)"""
 
 
-@query("X6_correction_pairs", f"WITH {CORR_SQL} SELECT a.event_id, a.original_event_ref, b.value AS original_value, b.event_id IS NOT NULL AS original_found FROM c a LEFT JOIN c b ON b.event_id = a.original_event_ref AND b.original_event_ref IS NULL WHERE a.original_event_ref IS NOT NULL")
+@query("X6_correction_pairs", f"""WITH RECURSIVE {CORR_SQL} SELECT a.event_id, a.original_event_ref, b.value AS original_value, b.event_id IS NOT NULL AS original_found, effective_id, CAST(chain_depth AS BIGINT) AS chain_depth, cyclic
+FROM c a JOIN root USING (event_id) LEFT JOIN c b ON b.event_id = a.original_event_ref""")
 def x6(spark, d):
     out = submission.pair_corrections(correction_events(spark, d), "event_id", "original_event_ref", ["ts"])
-    return out.select("event_id", "original_event_ref", "original_value", "original_found")
+    return out.select("event_id", "original_event_ref", "original_value", "original_found", "effective_id", "chain_depth", "cyclic")
 
 
 @query("X6_effective_events", f"""
-WITH {CORR_SQL} SELECT coalesce(original_event_ref, event_id) AS effective_id, event_id, value FROM c QUALIFY row_number() OVER (PARTITION BY coalesce(original_event_ref, event_id) ORDER BY (original_event_ref IS NOT NULL) DESC, ts DESC, event_id DESC) = 1""")
+WITH RECURSIVE {CORR_SQL}, k AS (SELECT c.*, coalesce(effective_id, event_id) AS eff FROM c LEFT JOIN root USING (event_id))
+SELECT eff AS effective_id, event_id, value FROM k QUALIFY row_number() OVER (PARTITION BY eff ORDER BY (original_event_ref IS NOT NULL) DESC, ts DESC, event_id DESC) = 1""")
 def x6b(spark, d):
     return submission.effective_events(correction_events(spark, d), "event_id", "original_event_ref", ["ts", "event_id"]).select("effective_id", "event_id", "value")
 
@@ -507,8 +515,8 @@ def st1(spark, d):
     ch = replay_stream(spark, d).select(
         "user_id", F.to_date("ts").alias("change_date"), F.col("event_id").alias("seq"), "event_type", F.when(F.col("event_type") == "error", "DELETE").otherwise("UPSERT").alias("op")
     )
-    dim = flows.KeyedTable(spark, f"{base}/dim", ["user_id"], 8)
-    flows.scd2_stream(ch, ["user_id"], ["event_type"], dim, f"{base}/log", f"{base}/cp")
+    dim, log = flows.type2_tables(spark, base, ["user_id"], 8)
+    flows.scd2_stream(ch, ["user_id"], ["event_type"], dim, log, f"{base}/cp")
     return dim.read()
 
 
@@ -562,8 +570,8 @@ def st5(spark, d):
     stream = files.ingest_csv(spark, f"{base}/in/*", sup.schema).select(
         "code", "name", F.to_date("day").alias("change_date"), F.lit("UPSERT").alias("op"), F.unix_date(F.to_date("day")).cast("long").alias("seq")
     )
-    dim = flows.KeyedTable(spark, f"{base}/dim", ["code"], 8)
-    flows.scd2_stream(stream, ["code"], ["name"], dim, f"{base}/log", f"{base}/cp")
+    dim, log = flows.type2_tables(spark, base, ["code"], 8)
+    flows.scd2_stream(stream, ["code"], ["name"], dim, log, f"{base}/cp")
     return dim.read().select("code", "name", "effective_start_date", "is_current")
 
 
@@ -611,12 +619,18 @@ def st8(spark, d):
 @query("ST9_state_check_stream", BAD_MOVES)
 def st9(spark, d):
     base = work_dir(spark, "st9")
-    day = F.to_date("ts")
-    rows = status_rows(spark, d)
-    # each period lands and is then processed by one scheduled run, so batches are in order
-    last = flows.KeyedTable(spark, f"{base}/last", ["user_id"], 8)
-    for lo, hi in (("2024-01-01", "2024-01-08"), ("2024-01-08", "2024-01-16"), ("2024-01-16", "2024-01-24"), ("2024-01-24", "2024-03-01")):
-        rows.filter((day >= F.to_date(F.lit(lo))) & (day < F.to_date(F.lit(hi)))).write.mode("append").parquet(f"{base}/in")
-        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
-        flows.state_check_stream(stream, "user_id", ["ts", "event_id"], "status", states.edge_frame(spark), "order", last, f"{base}/bad", f"{base}/cp")
-    return spark.read.parquet(f"{base}/bad").select("event_id", "from_state", "status")
+    rows = status_rows(spark, d).select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "status")
+    # five batches in the order of time, but every fourth event arrives a batch late, and a last one that only moves the watermark
+    first = F.floor(F.unix_micros("ts") / (7 * 86400 * s.SECOND))
+    low = rows.agg(F.min(first)).first()[0] or 0
+    part = (first - low + F.when(F.col("event_id") % 4 == 1, 1).otherwise(0)).cast("int")
+    end = rows.agg(F.max("ts").alias("ts")).select(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"), (F.col("ts") + F.expr("interval 100 days")).alias("ts"), F.lit("NEW").alias("status"))
+    parts = rows.withColumn("part", part)
+    for n in range((parts.agg(F.max("part")).first()[0] or 0) + 1):
+        parts.filter(F.col("part") == n).drop("part").coalesce(1).write.parquet(f"{base}/in/{n:04d}")
+    end.coalesce(1).write.parquet(f"{base}/in/end")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
+    with moves.rocksdb(spark):
+        bad = moves.state_check_stream(stream, "user_id", "ts", "event_id", "status", states.edge_frame(spark), "order", "14 days")
+        flows.append_files(bad, f"{base}/bad", f"{base}/cp").awaitTermination()
+    return spark.read.parquet(f"{base}/bad").filter("user_id <> -1").select("event_id", "from_state", "status")

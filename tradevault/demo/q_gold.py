@@ -343,7 +343,7 @@ def feedback_errors(spark, d):
         F.when(F.col("settlement_status") == "SETTLED", "OPEN").when(F.col("return_flag") == "N", "RESOLVED").otherwise("ESCALATED").alias("resolution_status"),
         (F.col("line_no") - 2).alias("days_to_deadline"), F.date_add("settle_date", 3).alias("t_plus_3_deadline"),
         "settle_date",
-    ).filter("days_to_deadline <> 0")
+    )
 
 
 BATCH_SQL = """batches AS (SELECT 'B' || (o_orderkey % 5000) AS batch_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS event_date,
@@ -351,10 +351,10 @@ BATCH_SQL = """batches AS (SELECT 'B' || (o_orderkey % 5000) AS batch_id, CAST(d
   o_orderkey % 100 AS record_count, o_orderkey % 90 AS records_accepted, o_orderkey % 10 AS records_rejected, o_orderkey % 3 AS records_repaired,
   o_orderdate AS submission_timestamp, o_orderdate + INTERVAL 8 HOUR AS submission_deadline, o_orderkey % 211 = 0 AS is_late_submission,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'REJECTED' WHEN '2-HIGH' THEN 'PENDING' ELSE 'ACCEPTED' END AS ack_status FROM orders)"""
-ERROR_SQL = """errors AS (SELECT * FROM (SELECT fill_id, 'B' || (order_id % 5000) AS batch_id, CAST(date_trunc('month', settle_date) AS DATE) AS event_date,
+ERROR_SQL = """errors AS (SELECT fill_id, 'B' || (order_id % 5000) AS batch_id, CAST(date_trunc('month', settle_date) AS DATE) AS event_date,
   order_id || '-' || line_no AS firm_roe_id, CASE WHEN return_flag = 'R' THEN 'MENQ' ELSE 'MENO' END AS cat_event_code,
   CASE WHEN settlement_status = 'SETTLED' THEN 'OPEN' WHEN return_flag = 'N' THEN 'RESOLVED' ELSE 'ESCALATED' END AS resolution_status,
-  line_no - 2 AS days_to_deadline, settle_date + 3 AS t_plus_3_deadline, settle_date FROM lines_s) WHERE days_to_deadline <> 0)"""
+  line_no - 2 AS days_to_deadline, settle_date + 3 AS t_plus_3_deadline, settle_date FROM lines_s)"""
 STATUS_SQL = f"""
 WITH {BATCH_SQL}, {ERROR_SQL},
 b AS (SELECT event_date, cat_reporter_imid, submission_file_type, COUNT(*) AS batch_count, SUM(record_count) AS total_records,

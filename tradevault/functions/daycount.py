@@ -40,12 +40,18 @@ def _feb29_count(start: Column, end: Column) -> Column:
 
 
 def year_fraction(start: Column | str, end: Column | str, convention: str, business_days: Column | None = None) -> Column:
-    """Year fraction between two dates.
+    """Year fraction between two dates. A period that ends before it starts is minus the period the other way round.
 
     BUS_252 needs ``business_days``: the number of business days from start (excluded) to end (included), usually the
-    difference of two trading-day ordinals of the date dimension.
+    difference of two trading-day ordinals of the date dimension; it carries its own sign.
     """
     s, e = as_col(start), as_col(end)
+    if convention in ("BUS_252", "1_1"):
+        return _forward(s, e, convention, business_days)
+    return F.when(e >= s, _forward(s, e, convention, None)).otherwise(-_forward(e, s, convention, None))
+
+
+def _forward(s: Column, e: Column, convention: str, business_days: Column | None) -> Column:
     days = F.datediff(e, s).cast("double")
     ds, de = F.dayofmonth(s), F.dayofmonth(e)
     if convention == "ACT_360":

@@ -55,6 +55,100 @@ def unresolved_parties(edges: DataFrame, chains: DataFrame) -> DataFrame:
     return owned.join(chains.select("party").distinct(), "party", "left_anti")
 
 
+def cyclic_core(edges: DataFrame) -> DataFrame:
+    """Edges on cycles or on walks between cycles: parties that nobody owns, or that own nobody, are peeled off until none is left."""
+    core = cut(edges)
+    many = core.count()
+    while many:
+        owned, owners = core.select(F.col("owned").alias("owner")).distinct(), core.select(F.col("owner").alias("owned")).distinct()
+        core = cut(core.join(owned, "owner", "left_semi").join(owners, "owned", "left_semi").select(*edges.columns))
+        left = core.count()
+        if left == many:
+            break
+        many = left
+    return core
+
+
+def product(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Sparse matrix product of (i, j, w, d): weights multiply and add up, distances add and the shortest stays."""
+    right = b.select(F.col("i").alias("__i"), F.col("j").alias("__j"), F.col("w").alias("__w"), F.col("d").alias("__d"))
+    rows = a.join(right, F.col("j") == F.col("__i")).select("i", F.col("__j").alias("j"), (F.col("w") * F.col("__w")).alias("w"), (F.col("d") + F.col("__d")).alias("d"))
+    return rows.groupBy("i", "j").agg(F.sum("w").alias("w"), F.min("d").alias("d"))
+
+
+def closure(steps: DataFrame, tolerance: float, rounds: int = 60) -> DataFrame:
+    """Sum of all powers of a matrix (i, j, w, d), the zeroth included: walks of up to 2**r edges after r rounds.
+
+    Ends when no walk of 2**r edges carries more than ``tolerance``. A matrix whose powers grow has no such sum: that stops the job.
+    """
+    ends = steps.select(F.col("i").alias("n")).union(steps.select(F.col("j").alias("n"))).distinct()
+    power = cut(steps)
+    total = cut(ends.select(F.col("n").alias("i"), F.col("n").alias("j"), F.lit(1.0).alias("w"), F.lit(0).alias("d")))
+    for _ in range(rounds):
+        top = power.agg(F.max("w")).first()[0]
+        if top is None or top < tolerance:
+            return total
+        if top > 1e6:
+            break
+        both = total.unionByName(product(power, total))
+        total = cut(both.groupBy("i", "j").agg(F.sum("w").alias("w"), F.min("d").alias("d")))
+        power = cut(product(power, power).where(F.col("w") > tolerance * tolerance))
+    raise ValueError("ownership around a cycle does not converge: its parties are owned by more than 100 percent")
+
+
+def effective_ownership(edges: DataFrame, tolerance: float = 1e-16) -> DataFrame:
+    """(party, ultimate_owner, effective_pct, chain_depth): what each party's ultimate owners hold of it over all walks.
+
+    ``edges``: owner, owned, pct (fraction); repeated edges add up, rows with a NULL party are left out. An ultimate owner is one that
+    nobody owns. The share is the fixed point x = W x: shares flow down edge by edge, folded per (party, owner) at each
+    level, so walks that meet are one row however many there are. Parties on cycles, or between cycles, form the core: there all
+    walks are summed by repeated squaring of its sparse matrix, and a share that enters the core crosses it in one step. A
+    party's own shares are a cycle of one. Cycles that no ultimate owner reaches hold nothing and are left out; their
+    parties have no row. ``chain_depth`` is the shortest walk.
+    """
+    edges = edges.where("owner IS NOT NULL AND owned IS NOT NULL").groupBy("owner", "owned").agg(F.sum(F.col("pct").cast("double")).alias("pct"))
+    edges = cut(edges)
+    owned = edges.select(F.col("owned").alias("owner")).distinct()
+    tops = edges.select("owner").distinct().join(owned, "owner", "left_anti")
+    core = cyclic_core(edges)
+    core = reached(core, tops, edges)
+    inner = core.select(F.col("owned").alias("i"), F.col("owner").alias("j"), F.col("pct").alias("w"), F.lit(1).alias("d"))
+    walks = closure(inner, tolerance)
+    members = core.select(F.col("owned").alias("party")).distinct()
+    outer = edges.join(core.select("owner", "owned"), ["owner", "owned"], "left_anti")
+    now = tops.select(F.col("owner").alias("party"), F.col("owner").alias("ultimate_owner"), F.lit(1.0).alias("w"), F.lit(0).alias("d"))
+    done = []
+    while True:
+        step = (
+            now.join(outer, F.col("party") == F.col("owner"))
+            .select(F.col("owned").alias("party"), "ultimate_owner", (F.col("w") * F.col("pct")).alias("w"), (F.col("d") + 1).alias("d"))
+            .groupBy("party", "ultimate_owner").agg(F.sum("w").alias("w"), F.min("d").alias("d"))
+        )
+        step = cut(step)
+        entering = step.join(members, "party", "left_semi").select(F.col("party").alias("i"), F.col("ultimate_owner").alias("j"), "w", "d")
+        crossed = product(walks, entering).select(F.col("i").alias("party"), F.col("j").alias("ultimate_owner"), "w", "d")
+        now = cut(step.join(members, "party", "left_anti").select("party", "ultimate_owner", "w", "d").unionByName(crossed))
+        done.append(now)
+        if now.isEmpty():
+            break
+    total = reduce(DataFrame.unionByName, done).groupBy("party", "ultimate_owner").agg(F.sum("w").alias("effective_pct"), F.min("d").alias("chain_depth"))
+    return total
+
+
+def reached(core: DataFrame, tops: DataFrame, edges: DataFrame) -> DataFrame:
+    """Core edges whose owner an ultimate owner reaches; without this, closed cycles of full ownership would never converge."""
+    if core.isEmpty():
+        return core
+    seen = cut(tops.select(F.col("owner").alias("party")))
+    new = seen
+    while True:
+        step = new.join(edges, F.col("party") == F.col("owner")).select(F.col("owned").alias("party")).distinct()
+        new = cut(step.join(seen, "party", "left_anti"))
+        if new.isEmpty():
+            return cut(core.join(seen, core["owner"] == seen["party"], "left_semi"))
+        seen = cut(seen.unionByName(new))
+
+
 def hierarchy_paths(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """Slash-separated path from the root for every node reachable from a root (parent NULL).
 
