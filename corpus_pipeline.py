@@ -11,18 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from tradevault.llm import decontamination, mixing, pii, simhash, toxicity
 from tradevault.llm.columns import stored, table
 
-#: Near-duplicate stages work on shingles of five words.
-SHINGLE = 5
-
-
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose toxicity reaches the threshold."""
     return toxicity.clean(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, the one of the smallest id, of each group of near duplicates."""
-    return simhash.dedup(docs, size=SHINGLE)
+    """Keep one document, the one of the smallest id, of each group of near duplicates: fingerprints of four-word shingles that a chain
+    of at most four differing bits each connects."""
+    return simhash.dedup(docs, radius=simhash.RADIUS, size=simhash.SIZE)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
