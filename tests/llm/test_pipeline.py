@@ -41,7 +41,7 @@ def test_stages(spark, sf, documents, benchmark):
     assert after == {r["doc_id"]: before[r["doc_id"]] for r in scored.where("predicted = 0").collect()}
     before, after = seen["near_duplicates"]
     ids = sorted(before)
-    groups = brute_groups([brute_print(before[i], 5) for i in ids])
+    groups = brute_groups([brute_print(before[i]) for i in ids])
     assert after == {ids[g]: before[ids[g]] for g in set(groups)}
     before, after = seen["decontamination"]
     items = [tuple(r) for r in benchmark.select("item_id", "text").collect()]
