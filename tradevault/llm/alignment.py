@@ -8,7 +8,8 @@ token expands to the run of B tokens that overlap it; such a pair is a link.
 A text is cut at single spaces between two characters that are no white space. No piece of either vocabulary reaches over such a
 place (checked for B when its model is read), so both encodings break there and a chunk's groups and links never change. They
 are computed once per distinct chunk and kept in a table of at most ``CACHE`` chunks per worker, which is emptied when full.
-A chunk that one of the vocabularies does not give back byte by byte sends its whole text to the direct way: encode the text at
+Chunks that are new in a block of texts are encoded and aligned together, as one text with a space before each. A chunk that one of
+the vocabularies does not give back byte by byte sends its whole text to the direct way: encode the text at
 once, compare the bytes, align it if they are equal.
 
 A pair's count is the number of documents (rows) that hold it linked. Counts are summed in each task, then by Spark. They come
@@ -40,6 +41,7 @@ from tradevault.llm.tokens import byte_signs
 CACHE = 200_000
 KEEP_CHARS = 64
 PART_CHARS = 1 << 19
+FIELD = 64  # bits for each of the numbers that are added up in one integer
 BLOCK = 4_000_000
 FLUSH = 2_000_000
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -77,12 +79,12 @@ class Vocabularies:
         signs = [[f"{i}{end}" for i in range(n)] for n, ends in ((len(self.bytes_a), ",|"), (self.size_b, ",;")) for end in ends]
         self.signs = np.array([s.encode() for part in signs for s in part])
         self.sign_at = np.cumsum([0, *[len(part) for part in signs]])
+        self.sign_len = np.array([len(s) for part in signs for s in part], np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of both sides for each text; A reads a space before it."""
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        b = self.b.encode(texts, num_threads=1)
-        return [np.array(x.ids, np.int64) for x in a], [np.array(x, np.int64) for x in b]
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of both sides; A reads a space before the text."""
+        (a,) = self.a.encode_batch_fast([" " + text], add_special_tokens=False)
+        return np.array(a.ids, np.int64), np.array(self.b.encode(text), np.int64)
 
     def exact(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
         raw = b" " + text.encode()
@@ -114,16 +116,16 @@ class Aligner:
 
     def __init__(self, vocab: Vocabularies, cache: int = CACHE) -> None:
         self.vocab, self.cache = vocab, cache
-        self.known: dict[str, tuple[bytes, bytes, bytes] | None] = {}
+        #: chunk -> (groups as text, pair keys, numbers of A tokens, B tokens and groups), or None if it is not given back
+        self.known: dict[str, tuple[bytes, bytes, int] | None] = {}
         self.long: list[str] = []
 
-    def align(self, texts: list[str], ids_a: list[np.ndarray], ids_b: list[np.ndarray]) -> list[tuple[bytes, bytes, bytes]]:
-        """(groups as text, pair keys, numbers of A tokens, B tokens and groups) of texts given back exactly by both sides.
+    def align(self, ends: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[bytes, bytes, int]]:
+        """Groups and links of texts that lie one after another on one axis of bytes, up to ``ends``; a text's end ends a group.
 
-        All texts lie on one axis of bytes, one after another; a text's end always ends a group.
+        ``a`` and ``b`` are the ids of both sides over the whole axis.
         """
         v = self.vocab
-        a, b = np.concatenate(ids_a), np.concatenate(ids_b)
         ends_a, ends_b = np.cumsum(v.len_a[a]), np.cumsum(v.len_b[b])
         starts_a, starts_b = ends_a - v.len_a[a], ends_b - v.len_b[b]
         order, group = coalesce(np.concatenate([starts_a, starts_b]), np.concatenate([ends_a, ends_b]))
@@ -135,31 +137,44 @@ class Aligner:
         sign = np.concatenate([v.sign_at[last_a.astype(int)] + a, v.sign_at[2 + last_b.astype(int)] + b])
         side = np.repeat([0, 1], [len(a), len(b)])
         sign = sign[np.lexsort((np.arange(len(sign)), side, of))]
-        at_a, at_b = np.cumsum([0, *map(len, ids_a)]), np.cumsum([0, *map(len, ids_b)])
+        shown = v.signs[sign].tobytes().translate(None, b"\0")
         link_a, link_b = expand(starts_a, ends_a, starts_b, ends_b)
-        keys = (a[link_a] * v.size_b + b[link_b]).astype(np.uint64)
-        at_link = np.searchsorted(link_a, at_a)
-        out = []
-        for k in range(len(ids_a)):
-            shown = v.signs[sign[at_a[k] + at_b[k] : at_a[k + 1] + at_b[k + 1]]].tobytes().translate(None, b"\0")
-            numbers = np.array([len(ids_a[k]), len(ids_b[k]), group_a[at_a[k + 1] - 1] - group_a[at_a[k]] + 1], np.int64)
-            out.append((shown, keys[at_link[k] : at_link[k + 1]].tobytes(), numbers.tobytes()))
+        keys = (a[link_a] * v.size_b + b[link_b]).astype(np.uint64).tobytes()
+        # Where each text ends among the A tokens, B tokens, groups, printed signs and links.
+        at_a, at_b = np.searchsorted(ends_a, ends, side="right"), np.searchsorted(ends_b, ends, side="right")
+        n_a, n_b, n_groups = (np.diff(x, prepend=0).tolist() for x in (at_a, at_b, group_a[at_a - 1] + 1))
+        at_sign = np.cumsum(v.sign_len[sign])[at_a + at_b - 1].tolist()
+        at_link = (8 * np.searchsorted(link_a, at_a)).tolist()
+        out, s, k = [], 0, 0
+        for x, y, g, s_end, k_end in zip(n_a, n_b, n_groups, at_sign, at_link):
+            out.append((shown[s:s_end], keys[k:k_end], x | y << FIELD | g << 2 * FIELD))
+            s, k = s_end, k_end
         return out
 
     def learn(self, chunks: list[str]) -> None:
-        """Align chunks that are not known; None stands for one that is not given back exactly."""
-        ids_a, ids_b = self.vocab.encode(chunks)
-        good = [k for k, c in enumerate(chunks) if self.vocab.exact(c, ids_a[k], ids_b[k])]
-        self.known.update(dict.fromkeys(chunks))
-        self.long = [c for c in chunks if len(c) > KEEP_CHARS]
-        if good:
-            made = self.align([chunks[k] for k in good], [ids_a[k] for k in good], [ids_b[k] for k in good])
-            self.known.update(zip([chunks[k] for k in good], made))
-
-    def whole(self, text: str) -> list[tuple[bytes, bytes, bytes]] | None:
+        """Align chunks that are not known, all at once as one text with a space before each.
+
+        Both vocabularies break at such a space, unless the chunk before it ends in white space. If the text is not given back whole,
+        the chunk that is to blame is found by halving.
+        """
+        if not chunks:
+            return
+        joined = " ".join(chunks)
+        a, b = self.vocab.encode(joined)
+        if self.vocab.exact(joined, a, b):
+            ends = np.cumsum([len(c.encode()) + 1 for c in chunks])
+            self.known.update(zip(chunks, self.align(ends, a, b)))
+        elif len(chunks) == 1:
+            self.known[chunks[0]] = None
+        else:
+            half = len(chunks) // 2
+            self.learn(chunks[:half])
+            self.learn(chunks[half:])
+
+    def whole(self, text: str) -> list[tuple[bytes, bytes, int]] | None:
         """The direct way, for a text with a chunk that is not given back: all of it at once."""
-        ids_a, ids_b = self.vocab.encode([text])
-        return self.align([text], ids_a, ids_b) if self.vocab.exact(text, ids_a[0], ids_b[0]) else None
+        a, b = self.vocab.encode(text)
+        return self.align(np.array([len(text.encode()) + 1]), a, b) if self.vocab.exact(text, a, b) else None
 
     def chunks(self, texts: list[str | None]) -> list[list[str]]:
         """The chunks of each text, all of them known afterwards; what was known before may be forgotten."""
@@ -169,14 +184,18 @@ class Aligner:
         if len(self.known) + len(new) > self.cache:
             self.known.clear()
             new = list(asked)
-        if new:
-            self.learn(new)
+        together = [c for c in new if self.vocab.cuts and not c[-1].isspace()]
+        self.learn(together)
+        for c in new:
+            if c not in self.known:
+                self.learn([c])
+        self.long = [c for c in new if len(c) > KEEP_CHARS]
         return cut
 
     def texts(self, texts: list[str | None]) -> list[tuple]:
         """(n_a, n_b, n_groups, n_links, digest, distinct pair keys, how often each is linked) of each text."""
         none = (0, 0, 0, 0, "", b"", b"")
-        out = []
+        out, mask = [], (1 << FIELD) - 1
         for text, chunks in zip(texts, self.chunks(texts)):
             parts = [self.known[c] for c in chunks]
             if None in parts:
@@ -184,11 +203,12 @@ class Aligner:
             if not parts:
                 out.append(none)
                 continue
-            n_a, n_b, n_groups = np.frombuffer(b"".join([p[2] for p in parts]), np.int64).reshape(-1, 3).sum(axis=0).tolist()
-            digest = hashlib.sha256(b"".join([p[0] for p in parts])[:-1]).hexdigest()
-            links = np.frombuffer(b"".join([p[1] for p in parts]), np.uint64)
+            shown, links, numbers = zip(*parts)
+            total = sum(numbers)
+            digest = hashlib.sha256(b"".join(shown)[:-1]).hexdigest()
+            links = np.frombuffer(b"".join(links), np.uint64)
             keys, times = np.unique(links, return_counts=True)
-            out.append((n_a, n_b, n_groups, len(links), digest, keys.tobytes(), times.astype(np.uint32).tobytes()))
+            out.append((total & mask, total >> FIELD & mask, total >> 2 * FIELD, len(links), digest, keys.tobytes(), times.astype(np.uint32).tobytes()))
         for c in self.long:
             self.known.pop(c, None)
         self.long = []
