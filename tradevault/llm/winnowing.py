@@ -218,6 +218,6 @@ def report(docs: DataFrame, bucket_rows: int = BUCKET_ROWS, sample: int = SAMPLE
     same = F.col("doc_id").eqNullSafe(F.col("want_id")) & (F.col("h") == F.col("want_h"))
     copies = keyed.select("doc_id", "text", "h").join(F.broadcast(wanted), same).groupBy("bucket").agg(F.first(F.struct("doc_id", "text")).alias("r"))
     copies = copies.select("bucket", F.lit(True).alias("copy"), "r.doc_id", "r.text", F.lit(0).cast("long").alias("h"), F.lit(0).alias("part"))
-    together = placed.select("bucket", F.lit(False).alias("copy"), "doc_id", "text", "h", "part").unionByName(copies).repartition(len(bounds) + 1, "bucket")
+    together = placed.select("bucket", F.lit(False).alias("copy"), "doc_id", "text", "h", "part").unionByName(copies).repartitionById(len(bounds) + 1, F.col("bucket"))
     within = together.sortWithinPartitions("bucket", "copy", F.col("doc_id").asc_nulls_first(), "h", "part")
     return within.select("bucket", "copy", "doc_id", "text").mapInArrow(neighbours, REPORT)
