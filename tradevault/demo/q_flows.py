@@ -6,13 +6,14 @@ from tradevault.demo import stage as s
 from tradevault.demo.q_gold import stored_dim
 from tradevault.demo.q_ops import BAD_MOVES, LINE_SQL, shaped, status_rows
 from tradevault.demo.q_vault import V_SQL
-from tradevault.demo.registry import query
+from tradevault.demo.registry import ORACLE, query
 from tradevault.functions.hashing import hash_key, row_hash
 from tradevault.operators import interval
 from tradevault.plans import accounts, dims, refdata, states, submission, views
 from tradevault.session import work_dir
-from tradevault.sources import files, tables
-from tradevault.streaming import flows, moves
+from tradevault.sources import files, tables, tracked
+from tradevault.sources.named_files import written_files
+from tradevault.streaming import flows, moves, rollup
 
 # ---- account data from customers and orders ------------------------------------------------------------------------------------
 
@@ -314,7 +315,18 @@ WITH {FILES_SQL} SELECT {NAME_SQL} AS file_name, COUNT(*) AS lines, CAST(SUM(str
 def io10(spark, d):
     path = work_dir(spark, "submission")
     submission.write_submission(submission_rows(spark, d), path)
-    return spark.read.text(path).groupBy("file_name").agg(F.count("*").alias("lines"), F.sum(F.octet_length("value") + 1).alias("bytes"))
+    name = F.regexp_extract(F.input_file_name(), "([^/]+)$", 1)
+    lines = spark.read.option("pathGlobFilter", "*.json.bz2").text(path).select(name.alias("file_name"), "value")
+    return lines.groupBy("file_name").agg(F.count("*").alias("lines"), F.sum(F.octet_length("value") + 1).alias("bytes"))
+
+
+@query("IO10_file_checksums", s.with_stage("order_events", f"""
+WITH {FILES_SQL} SELECT {NAME_SQL} AS file_name, COUNT(*) AS record_count, CAST(SUM(strlen(line) + 1) AS BIGINT) AS file_size_bytes, sha256(string_agg(line, chr(10) ORDER BY record_no) || chr(10)) AS sha256_checksum
+FROM f GROUP BY crd, y, file_no"""))
+def io10b(spark, d):
+    path = work_dir(spark, "submission")
+    submission.write_submission(submission_rows(spark, d), path)
+    return written_files(spark, path)
 
 
 @query("X3_deadlines", """
@@ -497,6 +509,37 @@ def io3(spark, d):
     return spark.read.parquet(f"{base}/out")
 
 
+@query("IO3_schema_tracking", """
+SELECT CASE WHEN s_suppkey % 7 <> 3 THEN s_suppkey END AS s_suppkey, s_name, CASE WHEN s_suppkey % 3 > 0 THEN s_nationkey END AS s_nationkey, CASE WHEN s_suppkey % 3 = 2 THEN 'R' || s_nationkey END AS rating,
+  CASE WHEN s_suppkey % 7 = 3 THEN '{"s_suppkey":"K' || s_suppkey || '"}' END AS _rescued FROM supplier""")
+def io3b(spark, d):
+    """Files of three headers: fewer, other and new columns in another order, and keys that do not fit their type."""
+    base = work_dir(spark, "io3b")
+    sup = s.table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    k = F.col("s_suppkey")
+    text = sup.withColumn("code", F.when(k % 7 == 3, F.concat(F.lit("K"), k.cast("string"))).otherwise(k.cast("string")))
+    shapes = [["code as s_suppkey", "s_name"], ["s_nationkey as S_NATIONKEY", "s_name", "code as s_suppkey"], ["s_name", "concat('R', s_nationkey) as rating", "code as s_suppkey", "s_nationkey"]]
+    for n, shape in enumerate(shapes):
+        text.filter(k % 3 == n).selectExpr(*shape).write.option("header", True).csv(f"{base}/in/{n}")
+    tracked.tracked_csv(spark, f"{base}/in/*", sup.schema, f"{base}/out", f"{base}/cp", files_per_batch=1)
+    return tracked.read_tracked(spark, f"{base}/out", sup.schema)
+
+
+@query("A8_incremental_lifecycle", ORACLE["A8_daily_lifecycle"])
+def a8_incremental(spark, d):
+    """Fills in three batches; every seventh comes first with a wrong amount and is corrected later, some are withdrawn before they come."""
+    base = work_dir(spark, "ivm")
+    k = F.pmod(F.xxhash64("fill_id"), F.lit(21))
+    f = s.fills(spark, d).withColumnRenamed("order_date", "fact_date").withColumn("k", k)
+    right = f.withColumns({"sign": F.lit(1), "no": F.when(k % 7 == 0, 2).otherwise((k % 3).cast("int"))})
+    wrong = f.filter("k % 7 = 0").withColumn("amount", (F.col("amount") + 1).cast("decimal(18,4)"))
+    feed = right.unionByName(wrong.withColumns({"sign": F.lit(1), "no": F.when(F.col("k") == 0, 2).otherwise(0)})).unionByName(wrong.withColumns({"sign": F.lit(-1), "no": F.lit(1)}))
+    table = rollup.DailyLifecycle(spark, base, buckets=8)
+    for no in range(3):
+        table.apply(no, feed.filter(F.col("no") == no))
+    return table.read().drop("cancelled_order_count", "rejected_order_count")
+
+
 @query("IO4_xml_ingest", "SELECT r_name AS currency_code, MIN(n_nationkey) % 5 AS minor_unit, 'C' || lpad(CAST(MIN(n_nationkey) AS VARCHAR), 2, '0') AS country_code FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
 def io4(spark, d):
     base = work_dir(spark, "io4")

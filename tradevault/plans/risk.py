@@ -36,6 +36,36 @@ def counterparty_exposure(trades: DataFrame, collateral: DataFrame) -> DataFrame
     return out.withColumn("unsecured_exposure", F.greatest(F.lit(0), secured))
 
 
+SKETCH_K = 200
+
+
+def exposure_sketches(trades: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """(party_id, counterparty_id, sketch): a KLL quantile sketch of each pair's observed daily net exposures.
+
+    Beside the exact percentiles, which read all days again, sketches of separate months or feeds merge in any order. The rank
+    of a quantile they give is off by at most about 1.33 percent of the days at the default size, with 99 percent confidence
+    (the error falls nearly in proportion to ``k``); up to ``k`` days are kept as they are, and quantiles are exact.
+    """
+    pair = ["party_id", "counterparty_id"]
+    daily = trades.groupBy(*pair, "exposure_date").agg(F.sum(signed("side", "amount")).alias("net"))
+    day_net = F.greatest(F.lit(0), F.col("net")).cast("double")
+    return daily.groupBy(*pair).agg(F.kll_sketch_agg_double(day_net, F.lit(k)).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """Sketches of the same pair as one; a pair's days must not be split over them."""
+    return sketches.groupBy("party_id", "counterparty_id").agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketched_exposure(sketches: DataFrame, low: float = 0.05, high: float = 0.95) -> DataFrame:
+    """Days, 5th and 95th percentile (the smallest observed value of at least that rank) and peak per pair."""
+
+    def at(q: float):
+        return F.kll_sketch_get_quantile_double("sketch", F.lit(q))
+
+    return sketches.select("party_id", "counterparty_id", F.kll_sketch_get_n_double("sketch").alias("days"), at(low).alias("ee_5pct"), at(high).alias("ee_95pct"), at(1.0).alias("pfe"))
+
+
 def net_settlement(fills: DataFrame) -> DataFrame:
     """Net quantity to deliver (positive, sold) or receive (negative, bought) and net cash per party, instrument, date."""
     deliver = -signed("side", "quantity")
