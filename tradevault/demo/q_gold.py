@@ -213,6 +213,11 @@ def allocations(spark, d):
     )
 
 
+def allocation_rows(spark, d):
+    dm = dim_map(spark, d, "party", "instrument", "account", "desk")
+    return facts.allocation_fact(allocations(spark, d), dm, order_span(spark, d))
+
+
 @query("G12_allocation_fact", s.with_dims("fills", "party instrument account desk", """
 SELECT fill_id AS cat_allocation_id, p.dim_party_sk, i.dim_instrument_sk, a.dim_account_sk, k.dim_desk_sk,
   CAST(quantity AS DOUBLE) AS allocated_quantity, CAST(settle_date AS VARCHAR) AS settle_date
@@ -222,9 +227,7 @@ JOIN dim_instrument i ON instrument_id = i.instrument_id_bk AND order_date BETWE
 LEFT JOIN dim_account a ON party_id = a.account_id_bk AND order_date BETWEEN a.effective_start_date AND a.effective_end_date
 LEFT JOIN dim_desk k ON party_id % 25 = k.desk_id_bk"""))
 def g12(spark, d):
-    dm = dim_map(spark, d, "party", "instrument", "account", "desk")
-    fact = facts.allocation_fact(allocations(spark, d), dm, order_span(spark, d))
-    return fact.select(
+    return allocation_rows(spark, d).select(
         "cat_allocation_id", "dim_party_sk", "dim_instrument_sk", "dim_account_sk", "dim_desk_sk", "allocated_quantity", "settle_date"
     )
 
@@ -238,6 +241,12 @@ JOIN dim_instrument i ON instrument_id = i.instrument_id_bk AND CAST(quote_ts AS
 LEFT JOIN dim_venue v ON venue_id = v.venue_id_bk AND CAST(quote_ts AS DATE) BETWEEN v.effective_start_date AND v.effective_end_date
 LEFT JOIN dim_trader t ON venue_id = t.trader_id_bk"""))
 def g13(spark, d):
+    return quote_rows(spark, d).select(
+        "cat_quote_id", "dim_party_sk", "dim_instrument_sk", "dim_venue_sk", "dim_trader_sk", "bid_price", "ask_price", "quote_side"
+    )
+
+
+def quote_rows(spark, d):
     q = s.quotes(spark, d).select(
         F.col("quote_id").alias("firm_roe_id"), F.col("quote_id").alias("cat_quote_id"), F.lit("MENQ").alias("cat_event_code"),
         F.col("venue_id").alias("party_id"), F.col("venue_id").alias("counterparty_id"), "instrument_id", "venue_id",
@@ -246,10 +255,7 @@ def g13(spark, d):
         "bid_price", "ask_price", F.lit("FIRM").alias("quote_type"), F.col("quote_ts").alias("quote_timestamp"),
         F.to_date("quote_ts").alias("event_date"), F.col("quote_id").alias("dv2_source_hk"),
     )
-    fact = facts.quote_fact(q, dim_map(spark, d, "party", "instrument", "venue", "trader"))
-    return fact.select(
-        "cat_quote_id", "dim_party_sk", "dim_instrument_sk", "dim_venue_sk", "dim_trader_sk", "bid_price", "ask_price", "quote_side"
-    )
+    return facts.quote_fact(q, dim_map(spark, d, "party", "instrument", "venue", "trader"))
 
 
 @query("P4_route_events", s.with_stage("order_events", """
@@ -259,6 +265,28 @@ def p4(spark, d):
     return facts.route_events(s.order_events(spark, d)).groupBy("cat_event_code", "fact").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("G16_equity_allocations_and_quotes", s.with_dims("fills quotes", "party instrument venue account desk trader", """
+SELECT 'equity_allocation' AS fact, fill_id AS dv2_source_hk, p.dim_party_sk, i.dim_instrument_sk, a.dim_account_sk, NULL::BIGINT AS dim_venue_sk, CAST(quantity AS DOUBLE) AS quantity, CAST(price AS DOUBLE) AS price
+FROM fills JOIN dim_party p ON party_id = p.party_id_bk AND order_date BETWEEN p.effective_start_date AND p.effective_end_date
+JOIN dim_instrument i ON instrument_id = i.instrument_id_bk AND order_date BETWEEN i.effective_start_date AND i.effective_end_date
+LEFT JOIN dim_account a ON party_id = a.account_id_bk AND order_date BETWEEN a.effective_start_date AND a.effective_end_date
+UNION ALL SELECT 'equity_quote', quote_id, p.dim_party_sk, i.dim_instrument_sk, NULL, v.dim_venue_sk, NULL, CAST(bid_price AS DOUBLE)
+FROM quotes JOIN dim_party p ON venue_id = p.party_id_bk AND CAST(quote_ts AS DATE) BETWEEN p.effective_start_date AND p.effective_end_date
+JOIN dim_instrument i ON instrument_id = i.instrument_id_bk AND CAST(quote_ts AS DATE) BETWEEN i.effective_start_date AND i.effective_end_date
+LEFT JOIN dim_venue v ON venue_id = v.venue_id_bk AND CAST(quote_ts AS DATE) BETWEEN v.effective_start_date AND v.effective_end_date"""))
+def g16b(spark, d):
+    """Allocation and quote events routed by their codes to the two facts, with their keys resolved and gated."""
+    a = facts.events_of(allocation_rows(spark, d), "equity_allocation").select(
+        F.lit("equity_allocation").alias("fact"), "dv2_source_hk", "dim_party_sk", "dim_instrument_sk", "dim_account_sk", F.lit(None).cast("long").alias("dim_venue_sk"),
+        F.col("allocated_quantity").alias("quantity"), F.col("allocated_price").cast("double").alias("price"),
+    )
+    q = facts.events_of(quote_rows(spark, d), "equity_quote").select(
+        F.lit("equity_quote").alias("fact"), "dv2_source_hk", "dim_party_sk", "dim_instrument_sk", F.lit(None).cast("long").alias("dim_account_sk"), "dim_venue_sk",
+        F.lit(None).cast("decimal(18,4)").alias("quantity"), F.col("bid_price").cast("double").alias("price"),
+    )
+    return a.unionByName(q)
+
+
 @query("G16_equity_split", s.with_stage("order_events", """
 SELECT 'equity_execution' AS fact, dv2_source_hk, CAST(execution_price AS DOUBLE) AS px FROM order_events WHERE cat_event_code IN ('MEOT','MEOTS')
 UNION ALL SELECT 'equity_order', dv2_source_hk, CAST(price AS DOUBLE) FROM order_events WHERE cat_event_code IN ('MENO','MECO','MEOR','MEOC')"""))

@@ -9,6 +9,7 @@ from tradevault.functions.scalars import change_operation, code_list, is_hashed,
 from tradevault.operators import interval, quality
 from tradevault.plans import dims, facts, refdata, rules, states, submission, views
 from tradevault.sources import seeds
+from tradevault.sources.seeds import small_frame
 
 # ---- projections ---------------------------------------------------------------------------------------------------------
 
@@ -174,6 +175,13 @@ def g14b(spark, d):
     return facts.option_fact(link, sat, "option_execution").select("option_event_hk", "cat_event_code", "event_qty", "event_price")
 
 
+@query("G14_option_allocations", s.with_stage("order_events", """
+SELECT dv2_source_hk AS option_event_hk, 'MOPA' AS cat_event_code, CAST(event_date AS VARCHAR) AS event_date, CAST(quantity AS DOUBLE) AS event_qty, fill_id FROM order_events WHERE cat_event_code = 'MEOC'"""))
+def g14c(spark, d):
+    link, sat, _ = option_tables(spark, d)
+    return facts.option_fact(link, sat, "option_allocation").select("option_event_hk", "cat_event_code", "event_date", "event_qty", "fill_id")
+
+
 OPTION_SQL = s.with_stage("order_events", """
 SELECT CASE WHEN cat_event_code = 'MEOT' THEN 'execution' WHEN cat_event_code = 'MEOC' THEN 'allocation' ELSE 'order' END AS event_family, dv2_source_hk AS sk,
   CASE cat_event_code WHEN 'MENO' THEN 'MONO' WHEN 'MECO' THEN 'MOCO' WHEN 'MEOR' THEN 'MOOR' WHEN 'MEOT' THEN 'MOOT' ELSE 'MOPA' END AS cat_event_code,
@@ -382,6 +390,29 @@ def q9(spark, d):
     return quality.invalid_transitions(moves, states.edge_frame(spark), "order").select("event_id", "from_state", "status")
 
 
+def machine_states(machine):
+    """States of a machine in the order of its moves."""
+    return list(dict.fromkeys(x for move in states.moves(machine) for x in move))
+
+
+EVENT_ORDER = ["signup", "view", "click", "purchase", "error"]
+FEED_SQL = ", ".join(f"('{m}', '{e}', '{machine_states(m)[i % len(machine_states(m))]}')" for m in states.machines() for i, e in enumerate(EVENT_ORDER))
+EDGE_SQL = ", ".join(f"('{m}', {a}, '{b}')" for m in states.machines() for a, b in [("NULL", states.entry_state(m)), *[(f"'{x}'", y) for x, y in states.moves(m)]])
+
+
+@query("Q9_all_machines", f"""
+WITH feed(machine, event_type, status) AS (VALUES {FEED_SQL}), edge(machine, f, t) AS (VALUES {EDGE_SQL}),
+m AS (SELECT machine, event_id, status, lag(status) OVER (PARTITION BY machine, user_id ORDER BY ts, event_id) AS from_state FROM events JOIN feed USING (event_type))
+SELECT machine, from_state, status, COUNT(*) AS n FROM m WHERE from_state IS DISTINCT FROM status
+AND NOT EXISTS (SELECT 1 FROM edge WHERE edge.machine = m.machine AND edge.f IS NOT DISTINCT FROM m.from_state AND edge.t = m.status) GROUP BY ALL""")
+def q9_all(spark, d):
+    """Every machine fed by the events: an event type stands for the machine's state of its place, and each feed is checked per user."""
+    feed = small_frame(spark, ["machine", "event_type", "status"], [(m, e, machine_states(m)[i % len(machine_states(m))]) for m in states.machines() for i, e in enumerate(EVENT_ORDER)])
+    ev = s.table(spark, d, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    moves = quality.state_transitions(ev.join(F.broadcast(feed), "event_type"), ["machine", "user_id"], ["ts", "event_id"])
+    return quality.invalid_moves(moves, states.edge_frame(spark)).groupBy("machine", "from_state", "status").agg(F.count("*").alias("n"))
+
+
 @query("Q10_clock_sync", """
 SELECT event_type AS system_name, COUNT(*) AS readings, COUNT(*) FILTER (abs(off) > CASE WHEN user_id % 2 = 0 THEN 1000 ELSE 50 END) AS breaches, MAX(abs(off)) AS worst_offset_ms FROM (SELECT *, event_id % 2500 - 1200 AS off FROM events) GROUP BY 1""")
 def q10(spark, d):
@@ -415,14 +446,43 @@ def q13b(spark, d):
 # ---- integrity by metadata -------------------------------------------------------------------------------------------------------
 
 
-@query("Q7_integrity_matrix", s.with_dims("order_events", "party instrument venue account desk trader", FACT_SQL + """
-SELECT 'order_events' AS fact, d AS dimension, c AS "check", CASE WHEN c = 'null_key' AND d = 'account' THEN (SELECT COUNT(*) FROM fact WHERE dim_account_sk IS NULL) ELSE 0 END AS n
-FROM (VALUES ('party'), ('instrument'), ('venue'), ('account'), ('desk'), ('trader')) t(d), (VALUES ('null_key'), ('unknown_key'), ('not_in_force')) u(c)"""))
+def records_fact(spark, d):
+    """A monthly record of each customer with its party and account, resolved at the date of the record."""
+    days = F.explode(F.sequence(F.to_date(F.lit("1995-01-31")), F.to_date(F.lit("2001-07-31")), F.expr("interval 6 months")))
+    rows = s.table(spark, d, "customer").select(F.col("c_custkey").alias("party_id"), F.col("c_custkey").alias("account_id"), days.alias("snapshot_date"))
+    dm = dim_map(spark, d, "party", "account")
+    return facts.resolve(rows, facts.standard_roles(dm, ["party", "account"]), "snapshot_date", ("1995-01-31", "2001-07-31"))
+
+
+def _missing(dim, day, rows, key):
+    return f"(SELECT COUNT(*) FROM {rows} f WHERE NOT EXISTS (SELECT 1 FROM dim_{dim} x WHERE x.{dim}_id_bk = {key} AND {day} BETWEEN x.effective_start_date AND x.effective_end_date))"
+
+
+QUOTE_DAY = "CAST(f.quote_ts AS DATE)"
+PAIRS = {
+    **{("order_events", n): _missing(n, "f.event_date", "order_events", f"f.{n}_id") for n in ("party", "instrument", "venue", "account", "desk", "trader")},
+    ("allocations", "party"): _missing("party", "f.order_date", "fills", "f.party_id"), ("allocations", "instrument"): _missing("instrument", "f.order_date", "fills", "f.instrument_id"),
+    ("allocations", "account"): _missing("account", "f.order_date", "fills", "f.party_id"), ("allocations", "desk"): _missing("desk", "f.order_date", "fills", "f.party_id % 25"),
+    ("quotes", "party"): _missing("party", QUOTE_DAY, "quotes", "f.venue_id"), ("quotes", "instrument"): _missing("instrument", QUOTE_DAY, "quotes", "f.instrument_id"),
+    ("quotes", "venue"): _missing("venue", QUOTE_DAY, "quotes", "f.venue_id"), ("quotes", "trader"): _missing("trader", QUOTE_DAY, "quotes", "f.venue_id"),
+    **{("customer_records", n): _missing(n, "f.day", "records", "f.c_custkey") for n in ("party", "account")},
+}
+
+
+@query("Q7_integrity_matrix", s.with_dims("order_events fills quotes", "party instrument venue account desk trader", """
+WITH records AS (SELECT c_custkey, CAST(unnest([last_day(CAST(m AS DATE)) FOR m IN range(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 6 MONTH)]) AS DATE) AS day FROM customer),
+nulls(fact, dimension, n) AS (""" + " UNION ALL ".join(f"SELECT '{f}', '{dim}', {q}" for (f, dim), q in PAIRS.items()) + """)
+SELECT fact, dimension, c AS "check", CASE WHEN c = 'null_key' THEN n ELSE 0 END AS n FROM nulls, (VALUES ('null_key'), ('unknown_key'), ('not_in_force')) u(c)"""))
 def q7c(spark, d):
+    from tradevault.demo.q_gold import allocation_rows, quote_rows
     from tradevault.plans.integrity import integrity_matrix
 
     dm = dim_map(spark, d, *ALL_DIMS)
-    return integrity_matrix({"order_events": stored_fact(spark, d)}, dm)
+    kept = {
+        "order_events": stored_fact(spark, d), "customer_records": s.stored(spark, d, "fact_customer_records", records_fact),
+        "allocations": s.stored(spark, d, "fact_allocations", allocation_rows), "quotes": s.stored(spark, d, "fact_quotes", quote_rows),
+    }
+    return integrity_matrix(kept, dm)
 
 
 @query("J8_relationship_report", s.with_stage("lines_s", """

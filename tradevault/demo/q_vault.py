@@ -212,6 +212,33 @@ def dv10(spark, d):
     return out.select("n_nationkey", "n_name", "hash_diff", "record_source", "load_date")
 
 
+@query("DV10_reference_hub", """
+SELECT sha256(lower(n_name) || '||iso') AS n_name_hk, n_name, CASE WHEN n_regionkey < 2 THEN '2025-01-01 00:00:00.000000' ELSE '2026-01-01 00:00:00.000000' END AS load_date, 'ISO' AS record_source FROM nation""")
+def dv10b(spark, d):
+    """A first load of some regions' codes, then all codes: only the new ones are added."""
+    n = s.table(spark, d, "nation")
+    first = vault.load_ref_hub(n.filter("n_regionkey < 2"), "n_name", "ISO", F.lit("2025-01-01").cast("timestamp"))
+    return first.unionByName(vault.load_ref_hub(n, "n_name", "ISO", F.lit("2026-01-01").cast("timestamp"), first))
+
+
+@query("G6_dim_account_from_vault", f"""
+WITH ch AS (SELECT user_id, CAST(ts AS DATE) AS change_date, event_id AS seq, event_type AS account_status FROM events), {s.scd2_sql('v', 'ch', 'user_id', ['account_status'])}
+SELECT user_id, account_status, CAST(effective_start_date AS VARCHAR) AS effective_start_date, CAST(effective_end_date AS VARCHAR) AS effective_end_date, is_current, row_hash FROM v""")
+def g6_vault(spark, d):
+    """Hub, satellite and daily point-in-time table, put together by load time, become the account's type-2 versions."""
+    st = status_stage(spark, d)
+    hub = vault.load_hub(st.withColumn("account_bk", F.col("user_id")), "account", ["account_bk"], "ACCOUNT_MASTER")
+    sat = vault.load_sat(st, "account_hk", ["account_status"], tie=["event_id"]).select("account_hk", "load_date", "hash_diff", "account_status")
+    lo, hi = st.agg(F.min(F.to_date("load_date")), F.max(F.to_date("load_date"))).first()
+    if lo is None:
+        lo = hi = SNAPS[0]
+    days = F.sequence(F.to_date(F.lit(str(lo))), F.to_date(F.lit(str(hi))))
+    pit = vault.build_pit(hub, "account_hk", {"sat_account_status": sat}, days)
+    daily = joins.assemble_entity(hub.drop("load_date", "record_source"), pit, "account_hk", {"sat_account_status": sat})
+    feed = daily.select(F.col("account_bk").cast("long").alias("user_id"), "account_status", F.col("snapshot_date").alias("change_date"))
+    return scd2.scd2_build(feed, ["user_id"], "change_date", ["change_date"], ["account_status"])
+
+
 @query("DV11_rebuild", s.with_stage("fills", f"""
 WITH {SAT_STAGE}, l AS (SELECT *, lag(account_status) OVER (PARTITION BY account_hk ORDER BY load_date) AS before FROM st)
 SELECT 'hub_account' AS table_name, COUNT(DISTINCT user_id) AS n FROM events

@@ -151,6 +151,14 @@ def invalid_transitions(transitions: DataFrame, edges: DataFrame, machine: str,
     return moved.join(F.broadcast(allowed), on, "left_anti")
 
 
+def invalid_moves(transitions: DataFrame, edges: DataFrame, status: str = "status") -> DataFrame:
+    """As ``invalid_transitions`` for rows of many machines, named by their ``machine`` column; the moves of all are one short list."""
+    allowed = edges.select(F.col("machine").alias("__machine"), F.col("from_state").alias("__from"), F.col("to_state").alias("__to"))
+    moved = transitions.filter(~F.col("from_state").eqNullSafe(F.col(status)))
+    on = (F.col("machine") == F.col("__machine")) & F.col("from_state").eqNullSafe(F.col("__from")) & (F.col(status) == F.col("__to"))
+    return moved.join(F.broadcast(allowed), on, "left_anti")
+
+
 def clock_sync(df: DataFrame, offset_ms: str, manual: str, by: Sequence[str]) -> DataFrame:
     """Share of readings within 50 ms (electronic) or 1 s (manual)."""
     limit = F.when(F.col(manual), 1000).otherwise(50)
