@@ -76,3 +76,19 @@ def test_conversation_beyond_a_variant(spark):
     for _ in range(n):
         want.update(b"<" * size)
     assert got["loss_sha256"] == want.hexdigest()
+
+
+def test_turn_rows_of_several_layouts(spark):
+    """The fingerprint of the columns chooses the mapping; an unknown layout keeps its fingerprint and has no turn."""
+    one = spark.createDataFrame([(1, "user", "q"), (2, None, None)], "turn int, role string, text string")
+    two = spark.createDataFrame([(1, "gpt", "a")], "turn int, `from` string, value string")
+    odd = spark.createDataFrame([("user", "q", 1)], "role string, text string, extra int").withColumn("t", F.lit("clash"))
+    got = [C.canonical_rows(one, ["turn", "role", "text"]), C.canonical_rows(two, ["turn", "from", "value"]), C.canonical_rows(odd, ["role", "text", "extra"])]
+    rows = [[(r["layout"], r["t"] and tuple(r["t"])) for r in x.collect()] for x in got]
+    assert rows == [[("turn_rows", ("user", "q")), ("turn_rows", ("", ""))], [("speaker_rows", ("assistant", "a"))], [(None, None)]]
+    assert all(r["fingerprint"] is not None for x in got for r in x.collect())
+
+
+def test_rows_are_mapped_by_their_fingerprint(spark, sf):
+    plan = C.report(spark, spark.read.parquet(f"{sf}/conversations.parquet"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "SchemaOfVariant" in plan and "to_variant_object" in plan

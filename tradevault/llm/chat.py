@@ -10,8 +10,8 @@ Template: every turn is ``<|role|>`` newline, text, ``</s>`` newline. Inside tex
 common other one, can appear; reading back undoes it exactly. The loss mask is the list of character spans of the assistant's
 (escaped) texts.
 
-Everything is DataFrame functions; no Python runs on the executors. Turn rows have the layout ``rows`` by their columns: they are formatted,
-read back and measured row by row, without a record. Only the digests need a conversation's turns together, in one task; its texts
+Everything is DataFrame functions; no Python runs on the executors. Tables of one turn a row have layouts of their own: a row's fingerprint is
+taken from its columns and chooses its mapping, and turns are formatted, read back and measured row by row, without a record. Only the digests need a conversation's turns together, in one task; its texts
 may then have 2 GiB, the most that one string of Spark holds, beyond which the job stops. Conversations are spread over tasks.
 
 NULL texts and roles count as empty; a NULL turn number comes first; turns with equal numbers are ordered by role and text, and
@@ -72,6 +72,23 @@ class Fields:
         return F.array(*[F.struct(F.lit(role).alias("role"), F.concat_ws("\n", *parts).alias("text")) for role, parts in made])
 
 
+@dataclass(frozen=True)
+class Turn:
+    """One turn per table row: a role and a text column; other columns in ``more``. ``names`` maps role names."""
+
+    role: str
+    text: str
+    more: tuple[str, ...] = ()
+    names: tuple[tuple[str, str], ...] = ()
+
+    def paths(self) -> list[str]:
+        return [self.role, self.text, *self.more]
+
+    def turn(self, have: set[str]) -> Column:
+        role, text = (F.col(f"`{c}`").cast("string") if c in have else F.lit(None).cast("string") for c in (self.role, self.text))
+        return F.struct(renamed(role, self.names).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
+
+
 def renamed(role: Column, names: tuple[tuple[str, str], ...]) -> Column:
     out = F.coalesce(role, F.lit(""))
     for old, new in names:
@@ -91,6 +108,14 @@ LAYOUTS: dict[str, Messages | Fields] = {
 }
 
 
+#: Layouts of tables with one turn a row.
+ROW_LAYOUTS: dict[str, Turn] = {
+    "turn_rows": Turn("role", "text", ("turn",)),
+    "message_rows": Turn("role", "content", ("turn",)),
+    "speaker_rows": Turn("from", "value", ("turn",), (("human", "user"), ("gpt", "assistant"))),
+}
+
+
 def signature(schema: Column) -> Column:
     """A schema text without types: only field names and nesting remain."""
     bare = F.regexp_replace(schema, r"(: )?\b(STRING|VOID|BIGINT|DOUBLE|BOOLEAN|VARIANT|FLOAT|DECIMAL\(\d+, ?\d+\))\b(?=[,>]|$)", "")
@@ -102,9 +127,9 @@ def fingerprint(record: Column) -> Column:
     return F.when(record.isNotNull(), F.xxhash64(signature(F.schema_of_variant(record))))
 
 
-def layout_signature(mapping: Messages | Fields) -> str:
+def layout_signature(mapping: Messages | Fields | Turn) -> str:
     """What ``signature`` gives for a record of this layout."""
-    if isinstance(mapping, Fields):
+    if isinstance(mapping, (Fields, Turn)):
         return f"OBJECT<{', '.join(sorted(mapping.paths()))}>"
     inner = ", ".join(sorted((mapping.role, mapping.text, *mapping.more)))
     return f"OBJECT<{mapping.field}: ARRAY<OBJECT<{inner}>>>"
@@ -123,6 +148,23 @@ def canonical(records: DataFrame, column: str, into: str = "turns", layouts: dic
     return out.withColumn("layout", name).withColumn(into, turns).drop(variant)
 
 
+def canonical_rows(rows: DataFrame, fields: list[str], into: str = "t", layouts: dict[str, Turn] | None = None) -> DataFrame:
+    """Turn rows with their fingerprint, layout and canonical turn; columns ``fingerprint``, ``layout`` and ``into`` are replaced.
+
+    A row's fingerprint is that of a record of its ``fields`` with all values emptied, as paths do not depend on them; so no text is copied
+    into a record, and a text has no bound but a string's. A row of an unknown layout keeps its fingerprint and has a NULL turn.
+    """
+    layouts = ROW_LAYOUTS if layouts is None else layouts
+    shape = F.struct(*[F.substring(F.col(f"`{c}`").cast("string"), 1, 0).alias(c) for c in fields])
+    out = rows.withColumn("fingerprint", fingerprint(F.to_variant_object(shape)))
+    turn, name = F.lit(None).cast("struct<role:string,text:string>"), F.lit(None).cast("string")
+    for layout, mapping in reversed(layouts.items()):
+        hit = F.col("fingerprint") == F.xxhash64(F.lit(layout_signature(mapping)))
+        turn = F.when(hit, mapping.turn(set(fields))).otherwise(turn)
+        name = F.when(hit, F.lit(layout)).otherwise(name)
+    return out.withColumn("layout", name).withColumn(into, turn)
+
+
 def turn_rows(rows: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text) of turn rows, in the types of the ``rows`` layout."""
     return rows.select(
@@ -198,8 +240,9 @@ def report(spark: SparkSession, conversations: DataFrame) -> DataFrame:
     """Digests of all conversations and the probe (id -1), read back from the formatted texts."""
     probe = spark.sql("SELECT -1L AS conv_id, :record AS record", args={"record": PROBE})
     probe = canonical(probe, "record").select("conv_id", F.posexplode("turns").alias("turn", "t")).select("conv_id", F.col("turn").cast("long").alias("turn"), "t.role", "t.text")
+    known = canonical_rows(turn_rows(conversations), ["turn", "role", "text"]).select("conv_id", "turn", "t.role", "t.text")
     turn = F.array(F.struct("role", "text"))
-    made = turn_rows(conversations).unionByName(probe).select("conv_id", "turn", formatted(turn).alias("formatted"), loss_spans(turn).alias("loss_spans"))
+    made = known.unionByName(probe).select("conv_id", "turn", formatted(turn).alias("formatted"), loss_spans(turn).alias("loss_spans"))
     back = made.select("conv_id", "turn", F.length("formatted").alias("chars"), read_back(F.col("formatted"))[0].alias("t"), under_mask(F.col("formatted"), F.col("loss_spans")).alias("loss"))
     listed = F.sort_array(F.collect_list(F.struct("turn", "t.role", "t.text", "loss")))
     whole = back.groupBy("conv_id").agg(listed.alias("turns"), F.sum(F.length("loss")).alias("loss_chars"), F.sum("chars").alias("formatted_chars"))
