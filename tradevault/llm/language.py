@@ -24,13 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradevault.llm.columns import added, held_out, named, stored
+from tradevault.llm.tokens import char_class
 
 PER_LANGUAGE = 4_000
 WORDS = 200_000
 GRAMS = 50_000
 ORDERS = (4, 3, 2, 1)
 CACHE = 200_000
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters as Unicode has them, the same class that training splits by; signs such as ½ or ² are none.
+LETTERS = re.compile(f"[{char_class('L')}]+")
 
 
 def training_rows(docs: DataFrame, per_language: int) -> tuple[DataFrame, dict[str, int]]:
