@@ -16,7 +16,8 @@ to hash anchors at cover positions (6 of 31 places for 50 words).
 
 Entries travel as packed arrays in Spark rows, partitioned by bucket. A passage that very many documents hold costs one entry per
 task block, not one per document, so no bucket gets a hot group, and nothing is capped, paired or sent to the driver. Windows
-are compared by 96 bits of two independent hashes.
+are compared by 96 bits of two hashes, each made from the bytes by a base of its own; words of ``LONG`` bytes and more, for which
+polynomials modulo 2**64 collide in any base, are hashed by XXH64 with a seed of its own.
 
 NULL texts have no words. Rows whose doc_id is NULL are neither smaller nor larger than any: they are returned whole. Rows with
 the same doc_id are no copies of each other; each comes out once per input row, judged against smaller ids (a row is told from
@@ -31,13 +32,16 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradevault.llm.columns import bounded_batches, fresh, named
-from tradevault.llm.textscan import CHECK_BASE, NONSPACE, Words, blocks, covered, mix, window_starts, windows
+from tradevault.llm.textscan import BYTE_BASE, CHECK_BASE, NONSPACE, Words, blocks, covered, mix, powers, window_starts, windows
 
 WINDOW = 50
+LONG = 256
+CHECK_BYTES = 0xC2B2AE3D27D4EB4F
 #: Difference covers: every residue modulo the period is a difference of two members.
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
 TASK_BYTES = 8 << 20
@@ -51,6 +55,18 @@ SENT = "part int, doc binary, row binary, place binary"
 ANSWER = "doc_id long, row long, places binary"
 
 
+def word_hashes(w: Words, base: int) -> np.ndarray:
+    """A 64-bit hash of each word's bytes: a polynomial in ``base``, or XXH64 seeded by it for long words."""
+    n = len(w.data)
+    power, inverse = powers(base, n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum((w.data.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
+    out = mix((total[w.ends] - total[w.starts]) * inverse[w.starts])
+    for i in np.flatnonzero(w.ends - w.starts >= LONG).tolist():
+        out[i] = xxhash.xxh64_intdigest(w.data[w.starts[i] : w.ends[i]].tobytes(), base)
+    return out
+
+
 def period_for(window: int) -> int:
     """The longest period that leaves anchors of at least a third of the window."""
     return max(p for p in COVERS if p == 1 or window - p + 1 >= max(1, window // 3))
@@ -187,7 +203,7 @@ def anchors_of(window: int, n_buckets: int) -> Callable[[Iterator[pa.RecordBatch
                 here = at - w.first[owner]
                 ok = inside[here % period] & (w.counts[owner] >= window)
                 at, owner = at[ok], owner[ok]
-                keys.append(windows(w.hashes(), at, size))
+                keys.append(windows(word_hashes(w, BYTE_BASE), at, size))
                 doc.append(ids[lo:hi][owner])
                 row.append(rows[lo:hi][owner])
                 place.append(here[ok])
@@ -215,9 +231,8 @@ def windows_of(window: int, n_buckets: int) -> Callable[[Iterator[pa.RecordBatch
                 at = window_starts(w.first, window)
                 at = at[near[at]]
                 owner = np.searchsorted(w.first, at, side="right") - 1
-                hashes = w.hashes()
-                keys.append(windows(hashes, at, window))
-                checks.append((windows(hashes, at, window, CHECK_BASE) >> np.uint64(32)).astype(np.uint32))
+                keys.append(windows(word_hashes(w, BYTE_BASE), at, window))
+                checks.append((windows(word_hashes(w, CHECK_BYTES), at, window, CHECK_BASE) >> np.uint64(32)).astype(np.uint32))
                 doc.append(ids[lo:hi][owner])
                 row.append(rows[lo:hi][owner])
                 place.append(at - w.first[owner])
