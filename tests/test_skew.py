@@ -33,7 +33,8 @@ def hot_dir(sf, tmp_path_factory):
 @pytest.fixture(autouse=True)
 def small_chunks(monkeypatch):
     monkeypatch.setattr(ordered, "TARGET_ROWS", 60)
-    monkeypatch.setattr(joins.expand_left, "__defaults__", (60, None))
+    monkeypatch.setattr(joins, "TARGET_ROWS", 60)
+    monkeypatch.setattr(joins.expand_left, "__defaults__", (60, None, None))
 
 
 @pytest.mark.parametrize("name", [

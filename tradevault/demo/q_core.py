@@ -1,7 +1,10 @@
 """Registered queries: staging."""
 
+from pyspark.sql import functions as F
+
 from tradevault.demo import stage as s
 from tradevault.demo.registry import query
+from tradevault.plans import facts
 
 
 @query("IO1_table_scan", s.with_stage("fills", """
@@ -20,7 +23,8 @@ SELECT firm_roe_id, cat_order_id, cat_event_code, party_id, instrument_id, event
   CAST(price AS DOUBLE) AS price, CAST(execution_price AS DOUBLE) AS execution_price, dv2_source_hk,
   strftime(event_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS event_timestamp, CAST(event_date AS VARCHAR) AS event_date FROM order_events"""))
 def p1(spark, d):
-    return s.order_events(spark, d).select(
-        "firm_roe_id", "cat_order_id", "cat_event_code", "party_id", "instrument_id", "event_nanos", "side", "order_type",
-        "price", "execution_price", "dv2_source_hk", "event_timestamp", "event_date",
-    )
+    """The events under raw names, curated back to the event shape by a mapping of names and expressions."""
+    names = ["firm_roe_id", "cat_order_id", "cat_event_code", "party_id", "instrument_id", "event_nanos", "side", "order_type", "price", "execution_price", "dv2_source_hk"]
+    raw = s.order_events(spark, d).select(*[F.col(n).alias(f"raw_{n}") for n in names], F.unix_micros("event_timestamp").alias("raw_micros"))
+    at = F.timestamp_micros("raw_micros")
+    return facts.curate(raw, {**{n: f"raw_{n}" for n in names}, "event_timestamp": at, "event_date": F.to_date(at)})

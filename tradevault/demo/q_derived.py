@@ -464,7 +464,9 @@ def b1(spark, d):
         "confirmation": link("confirmation", alloc(), hk("fill_id", "CNF").alias("confirmation_hk"), where="side = 'BUY' and line_no < 5"),
         "settlement": link("settlement", alloc(), hk("fill_id", "STL").alias("settlement_hk"), "settlement_status", where="side = 'BUY' and line_no < 6"),
     }
-    return bridges.trade_lifecycle(orders, links).select(
+    parent = {"execution": "order_hk", "allocation": "execution_hk", "clearing": "execution_hk", "confirmation": "allocation_hk", "settlement": "allocation_hk"}
+    splits = {n: s.stored(spark, d, f"splits_{n}_{joins.TARGET_ROWS}", lambda sp, dd, n=n: joins.key_splits(links[n], parent[n], joins.TARGET_ROWS)) for n in links}
+    return bridges.trade_lifecycle(orders, links, splits).select(
         "bridge_hk", "order_hk", "execution_hk", "allocation_hk", "clearing_hk", "confirmation_hk", "settlement_hk", "lifecycle_status"
     )
 

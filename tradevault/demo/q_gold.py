@@ -6,6 +6,7 @@ from tradevault.demo import stage as s
 from tradevault.demo.registry import query
 from tradevault.operators import interval, joins
 from tradevault.plans import dims, facts, views
+from tradevault.sources.seeds import read_config
 
 FEEDS = {
     "party": s.party_feed, "instrument": s.instrument_feed, "venue": s.venue_feed, "account": s.account_feed,
@@ -91,6 +92,21 @@ CODE_TYPES = """(VALUES ('MENO','New Order','ORDER','EQUITY_ORDER'), ('MECO','Ch
  ('MEOC','Order Cancelled','MODIFICATION','EQUITY_ORDER')) AS t(cat_event_code, event_name, event_phase, category)"""
 
 
+TAXONOMY_SQL = "(VALUES " + ", ".join("(" + ", ".join([str(i + 1), *["'" + x.replace("'", "''") + "'" for x in r[:5]]]) + ")" for i, r in enumerate(read_config("event_types")[1])) + ") AS t(pos, section, event_name, code, category, phase)"
+
+
+@query("G2_event_type_dimension", s.with_stage("order_events", f"""
+SELECT CAST(pos AS BIGINT) AS dim_event_type_sk, code AS cat_event_code, event_name, phase AS event_phase, section AS section_number, category,
+  CASE WHEN category LIKE '%\\_ALLOCATION' ESCAPE '\\' THEN 'Allocations' WHEN category LIKE '%\\_QUOTE' ESCAPE '\\' THEN 'QuoteEvents' WHEN category LIKE '%OPTION%' THEN 'OptionEvents' ELSE 'OrderEvents' END AS submission_file_type,
+  category LIKE '%OPTION%' AS is_options, category LIKE '%MULTILEG%' AS is_multileg, COUNT(cat_event_code) AS n
+FROM {TAXONOMY_SQL} LEFT JOIN order_events ON cat_event_code = code GROUP BY ALL"""))
+def g2_all(spark, d):
+    """All codes of the taxonomy with the events that use them."""
+    used = s.order_events(spark, d).groupBy("cat_event_code").agg(F.count(F.lit(1)).alias("n"))
+    out = dims.dim_event_type(spark).join(used, "cat_event_code", "left").fillna(0, ["n"])
+    return out.select("dim_event_type_sk", "cat_event_code", "event_name", "event_phase", "section_number", "category", "submission_file_type", "is_options", "is_multileg", "n")
+
+
 @query("G2_event_types_used", s.with_stage("order_events", f"""
 SELECT cat_event_code, event_name, event_phase, category, 'OrderEvents' AS submission_file_type, false AS is_options,
   false AS is_multileg, true AS is_electronic, COUNT(*) AS n

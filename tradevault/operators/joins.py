@@ -28,16 +28,25 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> Da
     return fact
 
 
-def expand_left(parent: DataFrame, child: DataFrame, key: str, target_rows: int = TARGET_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+def key_splits(child: DataFrame, key: str, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """(key, splits) of the keys that own more than ``target_rows`` rows; store it with the child table it is counted from."""
+    counted = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
+    return counted.filter(F.col("__n") > target_rows).select(key, F.ceil(F.col("__n") / target_rows).cast("int").alias("__splits"))
+
+
+def expand_left(
+    parent: DataFrame, child: DataFrame, key: str, target_rows: int = TARGET_ROWS, sizes: DataFrame | None = None, splits: DataFrame | None = None,
+) -> DataFrame:
     """Left join of one parent row to its many children, safe for a parent that owns most children.
 
     Adaptive execution can only split the left side of a left join. So the children of a key above the target are salted and
     its parent row is repeated once per salt; all other keys have one salt. One lazy plan serves every size. ``sizes`` names a
-    narrower table with the child keys to count. At most (children / target) keys are salted, which bounds what is broadcast.
+    narrower table with the child keys to count; ``splits`` gives what ``key_splits`` stored with the child, and nothing is counted.
+    At most (children / target) keys are salted, which bounds what is broadcast.
     """
-    counted = (child if sizes is None else sizes).groupBy(key).agg(F.count("*").alias("__n"))
-    sizes = counted.filter((F.col("__n") > target_rows) & F.col(key).isNotNull())
-    splits = F.broadcast(sizes.select(key, F.ceil(F.col("__n") / target_rows).cast("int").alias("__splits")))
+    if splits is None:
+        splits = key_splits(child if sizes is None else sizes, key, target_rows)
+    splits = F.broadcast(splits)
     salts = F.explode(F.sequence(F.lit(0), F.coalesce("__splits", F.lit(1)) - 1))
     p = parent.join(splits, key, "left").withColumn("__salt", salts)
     spread = F.pmod(F.xxhash64(*child.columns), F.coalesce("__splits", F.lit(1)).cast("long")).cast("int")

@@ -13,7 +13,8 @@ from tradevault.functions.scalars import open_end
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], seq: Sequence[Column | str]) -> DataFrame:
-    """The row with the greatest sequence per key: a map-side combined aggregate, not a per-key sort in one task."""
+    """The row with the greatest sequence per key: an aggregate that is combined before the shuffle, so a hot key comes down to one row a
+    task. Its values are structs, for which Spark aggregates over rows sorted by key."""
     rest = [c for c in df.columns if c not in keys]
     picked = F.max_by(F.struct(*rest), F.struct(*[as_col(s) for s in seq]))
     return df.groupBy(*keys).agg(picked.alias("__r")).select(*keys, "__r.*").select(*df.columns)
