@@ -38,7 +38,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradevault.llm.columns import added, bounded_batches, fresh, named, stored
+from tradevault.llm.columns import bounded_batches, fresh, named, stored
 from tradevault.session import cut
 
 KINDS = ("email", "ip", "card", "phone")
@@ -217,34 +217,51 @@ def disclosing(docs: DataFrame, near: int = NEAR, support: int = SUPPORT, disclo
     return stored(joined.select("term").distinct(), "pii-terms")
 
 
-def with_spans(docs: DataFrame, terms: DataFrame, into: str, block: int = BLOCK_TERMS) -> DataFrame:
-    """``docs`` with all spans of each text in column ``into`` (replaced if present): base spans by kind and start, then terms by start."""
+def with_spans(docs: DataFrame, terms: DataFrame, into: str, block: int = BLOCK_TERMS, kind: str = SPANS, finish: Callable | None = None) -> DataFrame:
+    """``docs`` with all spans of each text in column ``into`` (replaced if present): base spans by kind and start, then terms by start.
 
-    def base(texts: pa.Array) -> pa.Array:
-        return pa.array([[{"kind": k, "a": a, "b": b} for k, a, b in base_spans(t)] for t in texts.to_pylist()], pa.list_(SPAN))
-
-    out = added(docs, into, base, SPANS, "text")
-    for k, chosen in enumerate(in_blocks(terms, block)):
-        more = F.arrow_udf(term_adder(docs.sparkSession.sparkContext.broadcast(chosen)), SPANS).asNondeterministic()
-        out = (cut(out) if k else out).withColumn(into, more(F.col("text"), F.col(into)))
-    return out
-
-
-def term_adder(held: Broadcast) -> Callable[[pa.Array, pa.Array], pa.Array]:
-    """Adds the spans of one block of disclosing terms."""
-
-    def more(texts: pa.Array, before: pa.Array) -> pa.Array:
+    With ``finish`` the column holds what that makes of the texts and their spans, as type ``kind``. A text passes Python once per block of
+    terms, and once in all for most corpora: every step more would be one more Python worker beside each task.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    out, so_far, blocks = docs, None, in_blocks(terms, block)
+    now = next(blocks, frozenset())
+    while True:
+        after = next(blocks, None)
+        last = after is None
+        name = into if last else fresh(docs, "spans_so_far")
+        first, later = spans_of(spark.sparkContext.broadcast(now), finish if last else None)
+        step = F.arrow_udf(later if so_far else first, kind if last else SPANS).asNondeterministic()
+        out = out.withColumn(name, step(F.col("text"), *[F.col(f"`{c}`") for c in (so_far,) if c]))
+        if last:
+            return out.drop(so_far) if so_far and so_far != into else out
+        out, so_far, now = cut(out), name, after
+
+
+def spans_of(held: Broadcast, finish: Callable | None) -> tuple[Callable[[pa.Array], pa.Array], Callable[[pa.Array, pa.Array], pa.Array]]:
+    """Base spans, or those found before, with the spans of one block of disclosing terms."""
+
+    def find(texts: pa.Array, before: pa.Array | None = None) -> pa.Array:
+        read = texts.to_pylist()
+        known = before.to_pylist() if before is not None else [[{"kind": k, "a": a, "b": b} for k, a, b in base_spans(t)] for t in read]
         got = []
-        for text, spans in zip(texts.to_pylist(), before.to_pylist()):
-            if text and not held.value.isdisjoint(words_of(text)):
+        for text, spans in zip(read, known):
+            if text and held.value and not held.value.isdisjoint(words_of(text)):
                 taken = sorted((s["a"], s["b"]) for s in spans if s["kind"] != "term")
                 new = [{"kind": "term", "a": m.start(), "b": m.end()} for m in TERM.finditer(text) if m[0].lower() in held.value and not overlaps(taken, *m.span())]
                 old = [s for s in spans if s["kind"] == "term"]
                 spans = [s for s in spans if s["kind"] != "term"] + sorted(old + new, key=lambda s: s["a"])
             got.append(spans)
-        return pa.array(got, pa.list_(SPAN))
+        return finish(read, got) if finish else pa.array(got, pa.list_(SPAN))
+
+    def first(texts: pa.Array) -> pa.Array:
+        return find(texts)
+
+    def later(texts: pa.Array, before: pa.Array) -> pa.Array:
+        return find(texts, before)
 
-    return more
+    return first, later
 
 
 def listed(spans: list[dict]) -> str:
@@ -253,17 +270,15 @@ def listed(spans: list[dict]) -> str:
 
 def report(docs: DataFrame) -> DataFrame:
     source = docs.select(named(docs, "doc_id").alias("doc_id"), named(docs, "text").alias("text"))
-    found = with_spans(source, disclosing(source), "found")
 
-    def digest(found: pa.Array) -> pa.Array:
-        rows = found.to_pylist()
+    def digest(_: list, rows: list) -> pa.Array:
         base = [[s for s in spans if s["kind"] in KINDS] for spans in rows]
         counts = [pa.array([sum(s["kind"] == k for s in spans) for spans in base], pa.int64()) for k in KINDS]
         hashes = pa.array([hashlib.sha256(listed(spans).encode()).hexdigest() for spans in base], pa.string())
         return pa.StructArray.from_arrays([*counts, hashes, pa.array([listed(s) for s in rows], pa.string())], ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
 
     kind = "struct<n_email:bigint,n_ip:bigint,n_card:bigint,n_phone:bigint,base_sha256:string,spans:string>"
-    return added(found, "out", digest, kind, "found").select("doc_id", "out.*")
+    return with_spans(source, disclosing(source), "out", kind=kind, finish=digest).select("doc_id", "out.*")
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int, str]]:
@@ -279,12 +294,10 @@ def merged(spans: list[dict]) -> list[tuple[int, int, str]]:
 
 def sanitise(docs: DataFrame, remove: bool = False) -> DataFrame:
     """``docs`` with every span generalised to its kind in angle brackets (or removed); same columns. Texts without spans stay as they are."""
-    into = fresh(docs, "spans")
-    found = with_spans(docs, disclosing(docs), into)
 
-    def replace(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    def replace(texts: list, spans: list) -> pa.Array:
         out = []
-        for text, found in zip(texts.to_pylist(), spans.to_pylist()):
+        for text, found in zip(texts, spans):
             if found:
                 made, at = [], 0
                 for a, b, kind in merged(found):
@@ -294,4 +307,4 @@ def sanitise(docs: DataFrame, remove: bool = False) -> DataFrame:
             out.append(text)
         return pa.array(out, pa.string())
 
-    return found.withColumn("text", F.arrow_udf(replace, "string").asNondeterministic()(F.col("text"), F.col(into))).select(*[f"`{c}`" for c in docs.columns])
+    return with_spans(docs, disclosing(docs), "text", kind="string", finish=replace).select(*[f"`{c}`" for c in docs.columns])
