@@ -2,6 +2,10 @@
 
 Every stage takes all documents its predecessor kept and returns the columns of documents; each result is written as Parquet
 to the cluster's shared folder and read again, so that a lost executor repeats a stage at most.
+
+NULLs in any column, empty and very long texts, repeated rows, empty tables and further columns go through every stage as the
+operators' docstrings say: a NULL or empty text is clean, private of nothing, and near to all other empty texts; rows with a NULL
+doc_id are documents; further columns ride along.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tradevault.llm import decontamination, mixing, pii, simhash, toxicity
 from tradevault.llm.columns import stored, table
 
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose toxicity reaches the threshold."""
     return toxicity.clean(docs, table(spark, sf_dir, "labels"))
