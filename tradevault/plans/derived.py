@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradevault.functions.hashing import as_col
-from tradevault.functions.ordered import share_of, with_ordered
+from tradevault.functions.hashing import as_col, narrowed, text_columns, widened
+from tradevault.functions.ordered import share_of, in_order
 from tradevault.functions.scalars import micros_between, ratio
 from tradevault.operators.interval import asof_join
 
@@ -156,7 +156,7 @@ def fail_rate(settlements: DataFrame, by: Sequence[str], penalty_rate: float = 0
 
 def fill_progress(execs: DataFrame, order_quantity: str = "order_quantity") -> DataFrame:
     """Fill ordinal, cumulative and leaves quantity, and the fill's share of the order quantity."""
-    out = with_ordered(
+    out = in_order(
         execs, ["order_id"], ["fill_ts", "fill_id"],
         number="fill_sequence", running={"cumulative_qty": "quantity"},
     )
@@ -169,12 +169,12 @@ def fill_progress(execs: DataFrame, order_quantity: str = "order_quantity") -> D
 
 
 def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str) -> DataFrame:
-    return with_ordered(df, keys, order, number=out)
+    return in_order(df, keys, order, number=out)
 
 
 def monotonic_violations(df: DataFrame, part: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
     """Rows whose value is below the value before it in the order."""
-    seen = with_ordered(df, part, order, lag={"previous_value": value})
+    seen = in_order(df, part, order, lag={"previous_value": value})
     return seen.filter(F.col(value) < F.col("previous_value"))
 
 
@@ -188,6 +188,8 @@ def allocate(fills: DataFrame, instructions: DataFrame, key: str, fill: str = "f
     ``instructions`` has allocation_rule, target_percentage, target_quantity and account_id. Integer arithmetic keeps
     the split exact.
     """
+    text = [c for c in text_columns(fills) if c == fill]
+    fills = narrowed(fills, text)
     rule = F.col("allocation_rule")
     weight = (
         F.when(rule == "PCT_BASED", F.round(F.col("target_percentage") * 10000))
@@ -203,11 +205,12 @@ def allocate(fills: DataFrame, instructions: DataFrame, key: str, fill: str = "f
         {"__base": F.expr(f"(cast({qty} as bigint) * __w) div __total"), "__rem": num % F.col("__total")}
     )
     left = rows.groupBy(fill).agg((F.max(F.col(qty).cast("long")) - F.sum("__base")).alias("__left"))
-    ranked = with_ordered(
+    ranked = in_order(
         rows, [fill], [-F.col("__rem"), "account_id"], number="__rank"
     )
     units = F.col("__base") + F.when(F.col("__rank") <= F.col("__left"), 1).otherwise(0)
-    return ranked.join(left, fill).withColumn("allocated_units", units).drop("__w", "__total", "__base", "__rem", "__rank", "__left")
+    out = ranked.join(left, fill).withColumn("allocated_units", units).drop("__w", "__total", "__base", "__rem", "__rank", "__left")
+    return out.withColumns({c: widened(f"`{c}`") for c in text})
 
 
 def top_instruction(instructions: DataFrame, key: Sequence[str]) -> DataFrame:
