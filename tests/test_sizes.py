@@ -20,6 +20,16 @@ def plan(df):
     return out.getvalue()
 
 
+def test_leg_key_passes_joins_as_bytes(spark):
+    header = spark.createDataFrame([("o1", "e1"), ("o2", "e2")], "multileg_order_hk string, multileg_event_hk string")
+    legs = spark.createDataFrame([("o1", "0f", 7, 1, "BUY"), ("o1", "0F", 7, 1, "SELL"), ("o2", "x", 8, 1, "BUY"), ("o2", None, 7, 1, "BUY")], "multileg_order_hk string, multileg_leg_hk string, leg_instrument_id long, leg_ratio int, leg_side string")
+    sat = spark.createDataFrame([("0f", 1.0, None), ("0F", 2.0, None), ("x", 3.0, None), (None, 4.0, None)], "multileg_leg_hk string, leg_quantity double, load_end_dts timestamp")
+    dim = spark.createDataFrame([(7, 70, "S", True), (8, 80, "T", True)], "instrument_id_bk long, dim_instrument_sk long, symbol string, is_current boolean")
+    out = facts.expand_legs(header, legs, sat, dim)
+    assert rows(out, "multileg_leg_hk", "leg_quantity", "instrument_sk") == [("0F", 2.0, 70), ("0f", 1.0, 70), ("x", 3.0, 80)]
+    assert "unhex" in plan(out)
+
+
 def test_vault_keys_are_shuffled_as_bytes(spark):
     stage_rows = spark.createDataFrame([("A", 2, "0f", None), ("a", 1, "0F", "k"), ("b", 1, "0f", None)], "id string, load_date long, m1 string, m2 string")
     hub = vault.load_hub(stage_rows, "x", ["id"], "SRC")
