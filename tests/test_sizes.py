@@ -20,6 +20,14 @@ def plan(df):
     return out.getvalue()
 
 
+def test_headers_build_no_instrument_dimension(spark, sf, monkeypatch):
+    asked = []
+    real = q_ops.stored_dim
+    monkeypatch.setattr(q_ops, "stored_dim", lambda sp, d, name: asked.append(name) or real(sp, d, name))
+    q_ops.g15(spark, sf)
+    assert asked == ["party"]
+
+
 def test_leg_key_passes_joins_as_bytes(spark):
     header = spark.createDataFrame([("o1", "e1"), ("o2", "e2")], "multileg_order_hk string, multileg_event_hk string")
     legs = spark.createDataFrame([("o1", "0f", 7, 1, "BUY"), ("o1", "0F", 7, 1, "SELL"), ("o2", "x", 8, 1, "BUY"), ("o2", None, 7, 1, "BUY")], "multileg_order_hk string, multileg_leg_hk string, leg_instrument_id long, leg_ratio int, leg_side string")

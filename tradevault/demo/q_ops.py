@@ -212,10 +212,15 @@ def multileg_tables(spark, d):
     return link, esat, osat, legs, lsat
 
 
-def multileg_facts(spark, d):
-    link, esat, osat, legs, lsat = multileg_tables(spark, d)
+def multileg_head(spark, d):
+    link, esat, osat, legs, _ = multileg_tables(spark, d)
     cal = dims.dim_date(spark, "1994-01-01", "2003-12-31")
-    head = facts.multileg_headers(link, esat, osat, legs, stored_dim(spark, d, "party"), cal, mode="warn")
+    return facts.multileg_headers(link, esat, osat, legs, stored_dim(spark, d, "party"), cal, mode="warn")
+
+
+def multileg_facts(spark, d):
+    _, _, _, legs, lsat = multileg_tables(spark, d)
+    head = multileg_head(spark, d)
     good = head.filter(F.size("broken_rules") == 0)
     return head, facts.expand_legs(good.select("multileg_order_hk", "multileg_event_hk", "leg_count", F.lit(None).cast("long").alias("instrument_sk")), legs, lsat, stored_dim(spark, d, "instrument"))
 
@@ -226,7 +231,7 @@ SELECT CAST(o.order_id AS VARCHAR) AS multileg_order_hk, leg_count, CAST(strftim
   CASE WHEN leg_count < 2 THEN 'leg_count_at_least_2' WHEN leg_count > 50 THEN 'leg_count_capped' ELSE '' END AS broken
 FROM orders_s o JOIN n USING (order_id) LEFT JOIN dim_party ON party_id = party_id_bk AND is_current"""))
 def g15(spark, d):
-    return multileg_facts(spark, d)[0].select("multileg_order_hk", "leg_count", "date_sk", "party_sk", "net_price", F.concat_ws(",", "broken_rules").alias("broken"))
+    return multileg_head(spark, d).select("multileg_order_hk", "leg_count", "date_sk", "party_sk", "net_price", F.concat_ws(",", "broken_rules").alias("broken"))
 
 
 @query("G15_multileg_legs", s.with_dims("lines_s", "instrument", """
