@@ -28,6 +28,10 @@ def test_headers_build_no_instrument_dimension(spark, sf, monkeypatch):
     assert asked == ["party"]
 
 
+def test_hash_of_a_fill_passes_joins_as_bytes(spark, sf):
+    assert "unhex" in plan(q_ops.q7b(spark, sf))
+
+
 def test_leg_key_passes_joins_as_bytes(spark):
     header = spark.createDataFrame([("o1", "e1"), ("o2", "e2")], "multileg_order_hk string, multileg_event_hk string")
     legs = spark.createDataFrame([("o1", "0f", 7, 1, "BUY"), ("o1", "0F", 7, 1, "SELL"), ("o2", "x", 8, 1, "BUY"), ("o2", None, 7, 1, "BUY")], "multileg_order_hk string, multileg_leg_hk string, leg_instrument_id long, leg_ratio int, leg_side string")

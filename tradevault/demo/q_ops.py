@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tradevault.demo import stage as s
 from tradevault.demo.q_gold import CODE_TYPES, FACT_SQL, dim, order_fact, order_span, stored_dim, stored_fact, dim_map, ALL_DIMS
 from tradevault.demo.registry import query
+from tradevault.functions.hashing import narrow, widened
 from tradevault.functions.scalars import change_operation, code_list, is_hashed, mask_hash, operating_or_segment, resolve_identifier
 from tradevault.operators import interval, quality
 from tradevault.plans import dims, facts, refdata, rules, states, submission, views
@@ -361,8 +362,9 @@ def q7(spark, d):
 SELECT fill_id FROM fills f JOIN dim_party p ON party_id = party_id_bk AND is_current WHERE f.order_date < p.effective_start_date"""))
 def q7b(spark, d):
     p = stored_dim(spark, d, "party")
-    f = interval.current_lookup(s.fills(spark, d), p, "party_id", "party_id_bk", {"dim_party_sk": "dim_party_sk"})
-    return quality.point_in_time_offenders(f, p, "dim_party_sk", "dim_party_sk", "order_date").select("fill_id")
+    # the hash of a row passes both joins as bytes
+    f = interval.current_lookup(s.fills(spark, d).withColumn("fill_id", narrow("fill_id")), p, "party_id", "party_id_bk", {"dim_party_sk": "dim_party_sk"})
+    return quality.point_in_time_offenders(f, p, "dim_party_sk", "dim_party_sk", "order_date").select(widened("fill_id").alias("fill_id"))
 
 
 @query("Q8_firm_registration", s.with_dims("order_events", "account", """
