@@ -20,6 +20,35 @@ def plan(df):
     return out.getvalue()
 
 
+def test_stream_parts_do_not_split_a_time(spark):
+    df = spark.createDataFrame([(i, i // 7) for i in range(100)] + [(100, None)], "id long, s long").withColumn("ts", F.timestamp_seconds("s"))
+    cuts = flows.time_parts(df, "ts", 30)
+    out = df.withColumn("part", flows.part_of("ts", cuts))
+    assert flows.time_parts(df, "ts", 1000) == [] and 2 <= len(cuts) <= 3
+    assert out.filter("s is not null").groupBy("s").agg(F.countDistinct("part").alias("n")).filter("n > 1").isEmpty()
+    assert out.filter("s is null").first()["part"] == 0
+    assert rows(out.filter("s is not null").groupBy("part").agg((F.max("s") - F.min("s") < 7).alias("near")), "near") == [(True,)] * (len(cuts) + 1)
+
+
+def test_late_allocations_in_parts(spark, tmp_path, monkeypatch):
+    from datetime import datetime, timedelta
+
+    first = datetime(1996, 1, 1)
+    o = [(i, float(i % 5), first + timedelta(days=i)) for i in range(30)]
+    li = [(i, 1, 1, n, 1.0, 2.0, 0.0, 0.0, "R", "F", first) for i in range(30) for n in (1, 2, 6)]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(li, names).write.parquet(str(tmp_path / "lineitem.parquet"))
+    orders = spark.createDataFrame(o, "o_orderkey long, o_totalprice double, o_orderdate timestamp")
+    orders.selectExpr("*", "1L o_custkey", "'O' o_orderstatus", "'5-LOW' o_orderpriority").write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(q_flows, "ST7_ROWS", 25)
+    runs = []
+    start = flows.append_files
+    monkeypatch.setattr(flows, "append_files", lambda *a, **k: runs.append(1) or start(*a, **k))
+    got = q_flows.st7(spark, str(tmp_path))
+    want = stage.lines(spark, str(tmp_path)).select("fill_id", "order_id", F.expr("line_no not in (6, 7)").alias("matched"))
+    assert rows(got, *want.columns) == rows(want, *want.columns) and len(runs) > 2
+
+
 def test_headers_build_no_instrument_dimension(spark, sf, monkeypatch):
     asked = []
     real = q_ops.stored_dim
