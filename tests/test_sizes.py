@@ -1,4 +1,4 @@
-"""What grows with the input: closure rows, stream state, dimensions that a query does not use, keys moved as text."""
+"""What grows with the input: stream state, dimensions that a query does not use, keys moved as text."""
 
 import contextlib
 import io
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rows_helper import rows
 from tradevault.demo import catalog  # noqa: F401  (fills the registry)
 from tradevault.demo import q_flows, q_ops, stage
-from tradevault.operators import hierarchy, vault
+from tradevault.operators import vault
 from tradevault.plans import facts
 from tradevault.streaming import flows
 
