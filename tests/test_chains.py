@@ -160,3 +160,33 @@ def test_repeated_and_missing_parties(spark):
     edges = [("t", "a", 0.25), ("t", "a", 0.25), (None, "a", 0.5), ("t", None, 0.5)]
     assert owned_by(spark, edges) == {("a", "t"): (0.5, 1)}
     assert hierarchy.effective_ownership(spark.createDataFrame([], "owner string, owned string, pct double")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["diamond", "cycle", "own shares"])
+def test_large_graphs_are_walked(spark, monkeypatch, name):
+    """Shares around a cycle shrink, so no closure of the core is made; a share below the tolerance still has its row."""
+    monkeypatch.setattr(hierarchy, "SMALL", 0)
+    monkeypatch.setattr(hierarchy, "closure", None)
+    edges = [*CASES[name], ("t", "l1", 1e-9), ("l1", "l2", 1e-9), ("l2", "l3", 1.0), ("l3", "l2", 0.01)]
+    got = owned_by(spark, edges)
+    assert {k: v[0] for k, v in got.items()} == shares(edges)
+    assert got["l3", "t"] == (0.0, 3)
+
+
+@pytest.mark.parametrize("name", ["strong cycle", "cycle between cycles"])
+def test_walked_shares_that_do_not_shrink_cross_their_cycles(spark, monkeypatch, name):
+    monkeypatch.setattr(hierarchy, "SMALL", 0)
+    monkeypatch.setattr(hierarchy, "STRETCH", 3)
+    calls = []
+    monkeypatch.setattr(hierarchy, "closure", lambda *a, old=hierarchy.closure: calls.append(1) or old(*a))
+    got = owned_by(spark, CASES[name])
+    assert {k: v[0] for k, v in got.items()} == shares(CASES[name]) and calls
+    if name == "cycle between cycles":
+        assert got["z", "t"][1] == 6 and got["z", "u"][1] == 4
+
+
+def test_closed_cycle_that_holds_a_part(spark):
+    """A party half owned by a closed cycle passes on the half that an ultimate owner holds."""
+    edges = [("c", "d", 1.0), ("d", "c", 1.0), ("d", "p", 0.5), ("t", "p", 0.5), ("p", "x", 0.9), ("x", "y", 0.5), ("y", "x", 0.1)]
+    got = owned_by(spark, edges)
+    assert {k: v[0] for k, v in got.items()} == shares(edges) and got["x", "t"][1] == 2

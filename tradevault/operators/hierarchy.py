@@ -96,56 +96,101 @@ def closure(steps: DataFrame, tolerance: float, rounds: int = 60) -> DataFrame:
     raise ValueError("ownership around a cycle does not converge: its parties are owned by more than 100 percent")
 
 
+#: Up to so many edges the core is closed at once. Above, shares are walked first, and every STRETCH levels it is seen whether they shrink.
+SMALL, STRETCH = 1_000, 32
+PAIR = ["party", "ultimate_owner"]
+
+
 def effective_ownership(edges: DataFrame, tolerance: float = 1e-16) -> DataFrame:
     """(party, ultimate_owner, effective_pct, chain_depth): what each party's ultimate owners hold of it over all walks.
 
     ``edges``: owner, owned, pct (fraction); repeated edges add up, rows with a NULL party are left out. An ultimate owner is one that
     nobody owns. The share is the fixed point x = W x: shares flow down edge by edge, folded per (party, owner) at each
-    level, so walks that meet are one row however many there are. Parties on cycles, or between cycles, form the core: there all
-    walks are summed by repeated squaring of its sparse matrix, and a share that enters the core crosses it in one step. A
-    party's own shares are a cycle of one. Cycles that no ultimate owner reaches hold nothing and are left out; their
-    parties have no row. ``chain_depth`` is the shortest walk.
+    level, so walks that meet are one row however many there are. Around a cycle they shrink with every turn, and are walked until no more
+    than ``tolerance`` is left (``walked``); where they shrink too slowly, and in small graphs, what is left crosses the cycles in one
+    step (``crossed``). A party's own shares are a cycle of one. Cycles that no ultimate owner reaches hold nothing and are
+    left out; their parties have no row. ``chain_depth`` is the shortest walk.
     """
     edges = edges.where("owner IS NOT NULL AND owned IS NOT NULL").groupBy("owner", "owned").agg(F.sum(F.col("pct").cast("double")).alias("pct"))
-    edges = cut(edges)
+    edges = cut(edges.repartition(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), "owner"))
     owned = edges.select(F.col("owned").alias("owner")).distinct()
     tops = edges.select("owner").distinct().join(owned, "owner", "left_anti")
+    left = tops.select(F.col("owner").alias("party"), F.col("owner").alias("ultimate_owner"), F.lit(1.0).alias("w"), F.lit(0).alias("d"))
+    done = []
+    if edges.count() > SMALL:
+        done, left = walked(edges, left, tolerance)
+    if left is not None:
+        done += crossed(edges, left, tolerance)
+    total = reduce(DataFrame.unionByName, done).where("d > 0")
+    return total.groupBy(*PAIR).agg(F.sum("w").alias("effective_pct"), F.min("d").alias("chain_depth"))
+
+
+def flow(now: DataFrame, edges: DataFrame) -> DataFrame:
+    """Shares one edge further down, folded per (party, ultimate owner)."""
+    rows = now.join(edges, F.col("party") == F.col("owner")).select(
+        F.col("owned").alias("party"), "ultimate_owner", (F.col("w") * F.col("pct")).alias("w"), (F.col("d") + 1).alias("d")
+    )
+    return rows.groupBy(*PAIR).agg(F.sum("w").alias("w"), F.min("d").alias("d"))
+
+
+def walked(edges: DataFrame, now: DataFrame, tolerance: float) -> tuple[list[DataFrame], DataFrame | None]:
+    """The shares of each level, and those that are left where they do not shrink (None if nothing is left).
+
+    A share of at most ``tolerance`` is dropped, unless it is the first of its pair: each pair that a walk reaches has a row, however
+    little is held. A level that brings no new pair is followed by none that does.
+    """
+    now = cut(now)
+    seen, done, before, growing, level = now.select(*PAIR), [], 1.0, True, 0
+    while True:
+        step, big = flow(now, edges), F.abs("w") > tolerance
+        if growing:
+            step = step.join(seen.withColumn("known", F.lit(True)), PAIR, "left").withColumn("new", F.col("known").isNull()).drop("known")
+        else:
+            step = step.withColumn("new", F.lit(False))
+        now = cut(step.where(big | F.col("new")))
+        many, top, new = now.agg(F.count("*"), F.max(F.abs("w")), F.count_if("new")).first()
+        if not many:
+            return done, None
+        growing, level = new > 0, level + 1
+        if growing:
+            seen = seen.unionByName(now.where("new").select(*PAIR))
+        now = now.drop("new")
+        if level % STRETCH == 0:
+            if top is not None and not top <= before / 1000:
+                return done, now
+            before = top or 0.0
+        done.append(now)
+
+
+def crossed(edges: DataFrame, now: DataFrame, tolerance: float) -> list[DataFrame]:
+    """The given shares, and all that flows from them, level by level. Parties on cycles, or between cycles, form the core: there all
+    walks are summed by repeated squaring of its sparse matrix, and a share that enters the core crosses it in one step."""
+    edges = reached(edges, now)
     core = cyclic_core(edges)
-    core = reached(core, tops, edges)
-    inner = core.select(F.col("owned").alias("i"), F.col("owner").alias("j"), F.col("pct").alias("w"), F.lit(1).alias("d"))
-    walks = closure(inner, tolerance)
+    walks = closure(core.select(F.col("owned").alias("i"), F.col("owner").alias("j"), F.col("pct").alias("w"), F.lit(1).alias("d")), tolerance)
     members = core.select(F.col("owned").alias("party")).distinct()
     outer = edges.join(core.select("owner", "owned"), ["owner", "owned"], "left_anti")
-    now = tops.select(F.col("owner").alias("party"), F.col("owner").alias("ultimate_owner"), F.lit(1.0).alias("w"), F.lit(0).alias("d"))
     done = []
     while True:
-        step = (
-            now.join(outer, F.col("party") == F.col("owner"))
-            .select(F.col("owned").alias("party"), "ultimate_owner", (F.col("w") * F.col("pct")).alias("w"), (F.col("d") + 1).alias("d"))
-            .groupBy("party", "ultimate_owner").agg(F.sum("w").alias("w"), F.min("d").alias("d"))
-        )
-        step = cut(step)
-        entering = step.join(members, "party", "left_semi").select(F.col("party").alias("i"), F.col("ultimate_owner").alias("j"), "w", "d")
-        crossed = product(walks, entering).select(F.col("i").alias("party"), F.col("j").alias("ultimate_owner"), "w", "d")
-        now = cut(step.join(members, "party", "left_anti").select("party", "ultimate_owner", "w", "d").unionByName(crossed))
+        now = cut(now)
+        entering = now.join(members, "party", "left_semi").select(F.col("party").alias("i"), F.col("ultimate_owner").alias("j"), "w", "d")
+        over = product(walks, entering).select(F.col("i").alias("party"), F.col("j").alias("ultimate_owner"), "w", "d")
+        now = cut(now.join(members, "party", "left_anti").select(*PAIR, "w", "d").unionByName(over))
         done.append(now)
         if now.isEmpty():
-            break
-    total = reduce(DataFrame.unionByName, done).groupBy("party", "ultimate_owner").agg(F.sum("w").alias("effective_pct"), F.min("d").alias("chain_depth"))
-    return total
+            return done
+        now = flow(now, outer)
 
 
-def reached(core: DataFrame, tops: DataFrame, edges: DataFrame) -> DataFrame:
-    """Core edges whose owner an ultimate owner reaches; without this, closed cycles of full ownership would never converge."""
-    if core.isEmpty():
-        return core
-    seen = cut(tops.select(F.col("owner").alias("party")))
+def reached(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """Edges whose owner the given parties reach; without this, closed cycles of full ownership would never converge."""
+    seen = cut(start.select("party").distinct())
     new = seen
     while True:
         step = new.join(edges, F.col("party") == F.col("owner")).select(F.col("owned").alias("party")).distinct()
         new = cut(step.join(seen, "party", "left_anti"))
         if new.isEmpty():
-            return cut(core.join(seen, core["owner"] == seen["party"], "left_semi"))
+            return cut(edges.join(seen, edges["owner"] == seen["party"], "left_semi"))
         seen = cut(seen.unionByName(new))
 
 
