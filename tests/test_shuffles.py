@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from rows_helper import rows
-from tradevault.demo import stage
+from tradevault.demo import catalog, q_ops, stage  # noqa: F401  (the catalog first, as it orders the imports)
 from tradevault.functions.ordered import share_of
 from tradevault.operators.interval import pit_lookup
 
@@ -41,3 +41,9 @@ def test_spread_versions_are_not_broadcast(spark):
         out = pit_lookup(fact, dim, "key", "k", "day", {"sk": "sk"}, span=span)
         assert [tuple(r[c] for c in ("key", "sk")) for r in out.collect()] == [(1, 7)]
         assert not [line for line in plan(out).splitlines() if "BroadcastHashJoin" in line and "__b" in line]
+
+
+def test_option_view_shuffles_line_items_once_and_sorts_none(spark, sf):
+    """All three families read one shuffle of the line items, and no join of theirs sorts it."""
+    text = plan(q_ops.option_view(spark, sf))
+    assert text.count("ShuffledHashJoin") == 3 and "SortMergeJoin" not in text and "BroadcastHashJoin" not in text and "Sort [" not in text
