@@ -7,9 +7,10 @@ import re
 from pyspark.sql import functions as F
 
 from rows_helper import rows
-from tradevault.demo import catalog, q_ops, stage  # noqa: F401  (the catalog first, as it orders the imports)
+from tradevault.demo import catalog, q_flows, q_ops, stage  # noqa: F401  (the catalog first, as it orders the imports)
 from tradevault.functions.ordered import share_of
 from tradevault.operators.interval import pit_lookup
+from tradevault.streaming import merged
 
 
 def plan(df):
@@ -47,3 +48,23 @@ def test_option_view_shuffles_line_items_once_and_sorts_none(spark, sf):
     """All three families read one shuffle of the line items, and no join of theirs sorts it."""
     text = plan(q_ops.option_view(spark, sf))
     assert text.count("ShuffledHashJoin") == 3 and "SortMergeJoin" not in text and "BroadcastHashJoin" not in text and "Sort [" not in text
+
+
+def test_signed_fills_are_made_in_one_pass(spark, sf):
+    """Right, wrong and withdrawn fills come from one join; the same rows as from a branch each."""
+    got = q_flows.signed_fills(spark, sf)
+    assert len(re.findall(r"\w+Join\b", plan(got))) == 1
+    k = F.pmod(F.xxhash64("fill_id"), F.lit(21))
+    f = stage.fills(spark, sf).withColumnRenamed("order_date", "fact_date").withColumn("k", k)
+    right = f.withColumns({"sign": F.lit(1), "no": F.when(F.col("k") % 7 == 0, 2).otherwise((F.col("k") % 3).cast("int"))})
+    wrong = f.filter("k % 7 = 0").withColumn("amount", (F.col("amount") + 1).cast("decimal(18,4)"))
+    late = wrong.withColumns({"sign": F.lit(1), "no": F.when(F.col("k") == 0, 2).otherwise(0)})
+    want = right.unionByName(late).unionByName(wrong.withColumns({"sign": F.lit(-1), "no": F.lit(1)}))
+    assert rows(got, *got.columns) == rows(want, *got.columns)
+
+
+def test_newest_rows_need_no_join(spark):
+    table = merged.MergeTable(spark, "unused", ["k"])
+    df = spark.createDataFrame([("a", 1, 0), ("a", 2, 1), ("a", 3, 1), (None, 4, 0), (None, 5, 2)], "k string, v int, tv_batch int")
+    out = table.newest(df)
+    assert "Join" not in plan(out) and rows(out, "k", "v") == [("a", 2), ("a", 3), (None, 5)]
