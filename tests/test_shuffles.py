@@ -4,12 +4,16 @@ import contextlib
 import io
 import re
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rows_helper import rows
-from tradevault.demo import catalog, q_flows, q_ops, stage  # noqa: F401  (the catalog first, as it orders the imports)
+from tradevault.demo import catalog, q_derived, q_flows, q_ops, stage  # noqa: F401  (the catalog first, as it orders the imports)
+from tradevault.functions import ordered
+from tradevault.functions.hashing import hash_key, link_key
 from tradevault.functions.ordered import share_of
 from tradevault.operators.interval import pit_lookup
+from tradevault.plans import submission
 from tradevault.streaming import merged
 
 
@@ -68,3 +72,35 @@ def test_newest_rows_need_no_join(spark):
     df = spark.createDataFrame([("a", 1, 0), ("a", 2, 1), ("a", 3, 1), (None, 4, 0), (None, 5, 2)], "k string, v int, tv_batch int")
     out = table.newest(df)
     assert "Join" not in plan(out) and rows(out, "k", "v") == [("a", 2), ("a", 3), (None, 5)]
+
+
+def test_files_of_cut_groups_count_chunks_and_shuffle_no_lines(spark, monkeypatch):
+    """Numbers of a group that is cut are those of one window; the cut needs no second window, and the id is not ordered by."""
+    data = [(f"{i:02x}" * 4 if i % 9 else None, str(i % 2), "{}") for i in range(60)] + [("same", "0", "{}")] * 9
+    df = spark.createDataFrame(data, "id string, reporter_crd string, line string")
+    df = df.withColumns({"submitter_id": F.lit("900"), "gen_date": F.lit("2024-01-01").cast("date"), "file_group": F.lit(None).cast("string")})
+    want = df.withColumn("record_no", F.row_number().over(Window.partitionBy(*submission.FILE_KEY).orderBy(F.sha2("id", 256), "id")).cast("long"))
+    monkeypatch.setattr(ordered, "TARGET_ROWS", 5)
+    out = submission.split_files(df, "id", 4)
+    assert rows(out, "id", "reporter_crd", "record_no", "line") == rows(want, "id", "reporter_crd", "record_no", "line")
+    assert len(re.findall(r"Window \[[^\n]*row_number", plan(out))) == 1
+    assert rows(out.groupBy("reporter_crd").agg(F.max("file_no").alias("n")), "reporter_crd", "n") == [("0", 10), ("1", 8)]
+
+
+def test_share_with_sizes_computes_its_rows_once(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a", 1), (2, "a", 3), (3, None, 4), (4, "z", 0), (5, "z", None)], "id long, k string, q int")
+    want = [(1, 0.25), (2, 0.75), (3, 1.0), (4, None), (5, None)]
+    out = share_of(df, ["k"], "q", "s", sizes=df.select("k"))
+    assert out.columns == ["id", "k", "q", "s"] and rows(out, "id", "s") == want and "Join" not in plan(out)
+    monkeypatch.setattr(ordered, "TARGET_ROWS", 1)
+    cut = share_of(df, ["k"], "q", "s", sizes=df.select("k"))
+    assert rows(cut, "id", "s") == want and "Join" in plan(cut)
+
+
+def test_allocation_bridge_hashes_keys_after_the_join(spark, sf):
+    text = plan(q_derived.b3(spark, sf))
+    assert "unhex" in text and len(re.findall(r"Window \[", text)) == 1
+    f = stage.fills(spark, sf)
+    got = q_derived.b3(spark, sf).select("fill_id", "bridge_hk")
+    keys = [hash_key([c], source) for c, source in (("order_id", "EXE"), ("fill_id", "ALL"), ("party_id", "ACC"))]
+    assert rows(got, "fill_id", "bridge_hk") == rows(f.select("fill_id", link_key(keys).alias("bridge_hk")), "fill_id", "bridge_hk")
